@@ -1 +1,94 @@
-"""Streaming jobs, run until the available input is used up."""
+"""Streaming jobs, run until the available input is used up; each returns the table the stream wrote."""
+
+from pyspark.sql import DataFrame
+
+from playtide.catalog.registry import WIDE_COUNT, WIDE_GAP_MS, WIDE_WINDOW_MS, Tables, query
+from playtide.catalog.rule_queries import _ALERT_COLUMNS, _ORDER, _SESSION_COLUMNS
+from playtide.operators import ingest
+from playtide.schema import ALERT_FACT_SCHEMA, SESSION_FACT_SCHEMA
+from playtide.session import work_path
+from playtide.sources import star_tables, tables
+from playtide.streaming import jobs, rules
+
+
+def _events_stream(t: Tables) -> DataFrame:
+    return star_tables.game_events(star_tables.raw_events_stream(t.spark, t.folder))
+
+
+def _written(t: Tables, stream: DataFrame, purpose: str) -> DataFrame:
+    """Run a stream into a table and read it back."""
+    root = work_path(t.spark, purpose)
+    writer = stream.writeStream.format("parquet").options(path=f"{root}/out", checkpointLocation=f"{root}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+query("stream_dedup", 'SELECT kept.event_id, kept.sent_ms AS "timestamp", ev.user_key FROM kept JOIN ev USING (event_id)')(
+    lambda t: _written(
+        t, rules.dedup_ttl_stream(star_tables.redelivered(ingest.only_version(_events_stream(t)))), "dedup"
+    ).select("event_id", "timestamp", "user_key")
+)
+query("stream_dedup_watermark", "SELECT DISTINCT event_id, user_key FROM sent")(
+    lambda t: _written(
+        t, rules.dedup_stream(star_tables.redelivered(ingest.only_version(_events_stream(t)))), "dedup-watermark"
+    ).select("event_id", "user_key")
+)
+query(
+    "stream_user_quality",
+    f"""SELECT e.user_key, e.event_id, e.event_no, e.gap_ms, s.seq - s.prev_seq - 1 AS missing
+FROM (SELECT *, row_number() OVER ({_ORDER}) AS event_no, "timestamp" - lag("timestamp") OVER ({_ORDER}) AS gap_ms FROM ev) e
+LEFT JOIN (SELECT *, lag(seq) OVER ({_ORDER}) AS prev_seq, lag(session_id) OVER ({_ORDER}) AS prev_session
+FROM ev WHERE seq > 0) s ON s.event_id = e.event_id AND s.prev_session = s.session_id AND s.seq > s.prev_seq + 1""",
+)(
+    lambda t: _written(t, rules.user_quality_stream(ingest.only_version(_events_stream(t))), "quality").select(
+        "user_key", "event_id", "event_no", "gap_ms", "missing"
+    )
+)
+
+
+def _job(t: Tables) -> jobs.JobPaths:
+    return jobs.run_available(_events_stream(t), work_path(t.spark, "job"), WIDE_GAP_MS, WIDE_WINDOW_MS, WIDE_COUNT)
+
+
+# A session leaves the stream once the watermark, one hour behind the newest event, has passed its end plus the gap.
+query(
+    "stream_sessions",
+    f"""SELECT {_SESSION_COLUMNS} FROM sess
+WHERE session_end + {WIDE_GAP_MS} <= (SELECT max("timestamp") FROM ev ) - 3600000""",
+)(lambda t: tables.read_fact(t.spark, _job(t).table("sessions"), SESSION_FACT_SCHEMA).drop("created_at", "month"))
+query("stream_alerts", f"SELECT {_ALERT_COLUMNS} FROM alerts")(
+    lambda t: tables.read_fact(t.spark, _job(t).table("alerts"), ALERT_FACT_SCHEMA).drop("created_at", "month")
+)
+
+
+@query(
+    "stream_routing",
+    """SELECT route, count(*) AS records FROM (SELECT CASE WHEN taps = 7 THEN 'json' WHEN completion_pct = 40 THEN 'field'
+ELSE 'accepted' END AS route FROM allev ) GROUP BY 1""",
+)
+def _stream_routing(t: Tables) -> DataFrame:
+    root = work_path(t.spark, "routing")
+    parsed = ingest.parse_events(star_tables.event_messages(_events_stream(t)))
+    accepted, dead = f"{root}/accepted", f"{root}/dead"
+    jobs.start_routed_sink(parsed, accepted, dead, f"{root}/checkpoint", available_now=True).awaitTermination()
+    routes = t.spark.read.parquet(accepted).selectExpr("'accepted' AS route").unionByName(
+        t.spark.read.parquet(dead).selectExpr("error AS route")
+    )
+    return routes.groupBy("route").agg({"*": "count"}).withColumnRenamed("count(1)", "records")
+
+
+@query(
+    "stream_ingest",
+    """SELECT outcome, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN taps = 29 THEN 'user_key' WHEN taps = 30 THEN 'events'
+WHEN (seq + completion_pct) % 11 = 10 THEN 'event_app_version' ELSE 'record' END AS outcome,
+CASE WHEN taps = 29 OR taps = 30 OR (seq + completion_pct) % 11 = 10 THEN 1 ELSE seq % 3 + 1 END AS n FROM allev ) GROUP BY 1""",
+)
+def _stream_ingest(t: Tables) -> DataFrame:
+    root = work_path(t.spark, "ingest")
+    records, refused = f"{root}/records", f"{root}/refused"
+    requests = star_tables.batch_requests(_events_stream(t))
+    jobs.start_ingest(requests, records, refused, f"{root}/checkpoint", available_now=True).awaitTermination()
+    outcomes = t.spark.read.parquet(records).selectExpr("'record' AS outcome").unionByName(
+        t.spark.read.parquet(refused).selectExpr("error AS outcome")
+    )
+    return outcomes.groupBy("outcome").agg({"*": "count"}).withColumnRenamed("count(1)", "n")

@@ -8,18 +8,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 #: Runtime settings every job needs. Session time zone UTC makes day and hour buckets the same on every cluster;
-#: merging sessions before the shuffle keeps one very active user from filling a single reducer.
+#: merging sessions before the shuffle keeps one very active user from filling a single reducer; large keyed state
+#: and state with time-to-live need the RocksDB provider.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-#: Keyed streaming state with time-to-live needs the RocksDB provider.
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from playtide.session import ROCKSDB_PROVIDER, build_session  # noqa: E402
+from playtide.session import build_session  # noqa: E402
 
 SAMPLES = Path("/root/testdata")
 
@@ -16,7 +16,7 @@ def spark():
         "tests", "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-            "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+            "spark.ui.showConsoleProgress": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
