@@ -105,26 +105,23 @@ def flatten_payload(df: DataFrame) -> DataFrame:
     sources = {field: [field] for field in STRUCTURED_FIELDS}
     for payload_name, column in RENAMED_FIELDS.items():
         sources[column].append(payload_name)
+    known = [name for listed in sources.values() for name in listed]
+    wanted = T.StructType([T.StructField(name, T.StringType()) for name in [*known, "device_info"]])
 
     def lifted(field: str) -> Column:
-        found = [F.col("_fields")[name] for name in sources[field]]
+        found = [F.col(f"_{name}") for name in sources[field]]
         if field == "platform":
-            found.append(F.get_json_object(F.col("_fields")["device_info"], "$.platform"))
+            found.append(F.get_json_object("_device_info", "$.platform"))
         return F.when(flat, F.coalesce(*found).try_cast(_KINDS[field]))
 
-    known = [name for names_ in sources.values() for name in names_]
-    rest = F.map_filter("_values", lambda name, _: ~name.isin(known))
+    values = F.from_json("payload", "map<string,variant>")
+    rest = F.to_json(F.map_filter(values, lambda name, _: ~name.isin(known)))
+    # ``inline`` parses each payload once for all the lifted fields.
     return (
-        df.withColumns({
-            "_fields": F.from_json("payload", "map<string,string>"),
-            "_values": F.from_json("payload", "map<string,variant>"),
-        })
-        .withColumns({field: lifted(field) for field in STRUCTURED_FIELDS})
-        .withColumns({
-            "extra": F.when(flat & (F.size(rest) > 0), F.to_json(rest)),
-            "payload": F.when(~flat, F.col("payload")),
-        })
-        .drop("_fields", "_values")
+        df.select("*", F.inline(F.array(F.from_json("payload", wanted))).alias(*[f"_{f.name}" for f in wanted.fields]))
+        .withColumns({**{field: lifted(field) for field in STRUCTURED_FIELDS}, "_rest": F.when(flat, rest)})
+        .withColumns({"extra": F.when(F.col("_rest") != "{}", F.col("_rest")), "payload": F.when(~flat, F.col("payload"))})
+        .drop("_rest", *[f"_{f.name}" for f in wanted.fields])
     )
 
 

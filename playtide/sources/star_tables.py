@@ -6,7 +6,7 @@ reads, and the work grows with the table. ``k`` is the number inside ``props``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,11 +20,6 @@ RAW_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
 
-# The sample's event types and the event types they stand for.
-EVENT_TYPES = {"signup": "session_start", "view": "stage_start", "purchase": "stage_clear", "error": "stage_fail"}
-LEGACY_TYPES = {"signup": "game_start", "view": "stage_start", "error": "time_attack_end"}
-HOURS_MS = 3_600_000
-
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
@@ -37,85 +32,76 @@ def raw_events_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(RAW_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(folder)
 
 
-def _user_key(user_id: Column) -> Column:
-    return F.when(user_id % 25 == 0, F.concat(F.lit("user_bot_"), user_id)).otherwise(F.concat(F.lit("user_"), user_id))
-
-
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
-def _ms() -> Column:
-    return F.unix_millis(F.col("ts").cast("timestamp"))
+def _user_key(column: str) -> str:
+    return f"concat(IF({column} % 25 = 0, 'user_bot_', 'user_'), {column})"
+
+
+# The base columns, then the event columns in schema order, as SQL text over the sample's columns.
+_BASE = (
+    "*",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+    "unix_millis(CAST(ts AS TIMESTAMP)) AS ms",
+    f"{_user_key('user_id')} AS user",
+    "event_type IN ('view', 'purchase', 'error') AS on_stage",
+    "event_type = 'purchase' AS is_clear",
+)
+_GAME_EVENT = {
+    "event_id": "concat('e', event_id)",
+    "event_type": """CASE event_type WHEN 'signup' THEN 'session_start' WHEN 'view' THEN 'stage_start'
+        WHEN 'purchase' THEN 'stage_clear' WHEN 'error' THEN 'stage_fail'
+        ELSE IF(k % 4 = 0, 'item_use', 'navigation') END""",
+    "user_key": "user",
+    "session_id": "concat(user, '-', date_format(ts, 'yyyyMMdd'))",
+    "timestamp": "ms",
+    "client_timestamp": "ms - IF(event_id % 50 = 0, 5000 + 1000 * (event_id % 41), 20 * k - 200)",
+    "app_version": "'1.0.0'",
+    "schema_version": "IF(event_id % 40 = 0, '1', '2')",
+    "seq": "k % 6",
+    "mode": "CASE WHEN NOT on_stage THEN '' WHEN k % 2 = 0 THEN 'story' ELSE 'time_attack' END",
+    "stage_id": """CASE WHEN NOT on_stage THEN '' WHEN k % 2 = 0 THEN concat(k div 20 + 1, '-', k % 10 + 1)
+        ELSE concat('ta-', k % 15 + 1) END""",
+    "grid_size": """CASE WHEN NOT on_stage THEN '' WHEN k < 20 THEN '3x3' WHEN k < 40 THEN '4x3' WHEN k < 60 THEN '4x4'
+        ELSE '5x5' END""",
+    "time_limit_sec": "IF(on_stage AND k % 2 = 1, 60 * (k % 3 + 1), 0)",
+    "clear_time_ms": "IF(is_clear, floor(value * 100D + 0.5D), 0)",
+    "taps": "IF(is_clear, k % 30 + 1, 0)",
+    "score": "IF(is_clear, 100 + 7 * k, 0)",
+    "bonus_collected": "IF(is_clear, k % 4, 0)",
+    "universal_used": "IF(is_clear AND k % 10 = 0, 1, 0)",
+    "completion_pct": "IF(event_type = 'error', 20 + k % 66, 0)",
+    "duration_ms": "0",
+    "platform": "IF(event_type = 'signup', IF(user_id % 2 = 0, 'android', 'ios'), '')",
+    "from_screen": "IF(event_type = 'click' AND k % 4 <> 0, 'title', '')",
+    "to_screen": "IF(event_type = 'click' AND k % 4 <> 0, IF(k < 50, 'stageSelect', 'leaderboard'), '')",
+    "action": "IF(event_type = 'click' AND k % 4 = 0, IF(k % 8 = 0, 'purchase', 'use'), '')",
+    "item_type": "IF(event_type = 'click' AND k % 4 = 0, 'universal_block', '')",
+    "reason": "IF(event_type = 'error', 'timeout', '')",
+}
+_LEGACY_EVENT = {
+    "event_id": "concat('e', event_id)",
+    "event_type": """CASE event_type WHEN 'signup' THEN 'game_start' WHEN 'view' THEN 'stage_start'
+        WHEN 'error' THEN 'time_attack_end' WHEN 'click' THEN 'leaderboard_view'
+        ELSE IF(k % 2 = 0, 'story_stage_clear', 'stage_clear') END""",
+    "user_key": "user",
+    "session_id": "concat(user, '-', date_format(ts, 'yyyyMMdd'))",
+    "timestamp": "ms",
+    "schema_version": "'1'",
+    "payload": """to_json(named_struct(
+        'clear_time_ms', CASE k % 10 WHEN 9 THEN NULL WHEN 8 THEN 'fast' ELSE CAST(floor(value * 100D + 0.5D) AS STRING) END,
+        'grid_size', CASE WHEN k % 7 = 0 THEN NULL WHEN k < 50 THEN '3x3' ELSE '4x4' END,
+        'stage_num', CASE WHEN k % 9 = 0 THEN NULL ELSE CAST(k % 50 + 1 AS STRING) END))""",
+}
 
 
 def game_events(raw: DataFrame) -> DataFrame:
     """Events in the canonical schema; a part of them in the first schema version."""
-    k, ms, source = F.col("k"), F.col("timestamp"), F.col("event_type")
-    kind = F.when(source == "click", F.when(k % 4 == 0, "item_use").otherwise("navigation"))
-    for name, event_type in EVENT_TYPES.items():
-        kind = kind.when(source == name, event_type)
-    on_stage = source.isin("view", "purchase", "error")
-    story, clear = k % 2 == 0, source == "purchase"
-    chapter = F.floor(k / 20).cast("int") + 1
-
-    def stage_only(value: Column, empty) -> Column:
-        return F.when(on_stage, value).otherwise(F.lit(empty))
-
-    grid = F.when(chapter == 1, "3x3").when(chapter == 2, "4x3").when(chapter == 3, "4x4").otherwise("5x5")
-    story_stage = F.concat_ws("-", chapter, k % 10 + 1)
-    attack_stage = F.concat(F.lit("ta-"), k % 15 + 1)
-    skew = F.when(F.col("event_id") % 50 == 0, 5000 + 1000 * (F.col("event_id") % 41)).otherwise(20 * k - 200)
-    based = raw.select("*", _k().alias("k"), _ms().alias("timestamp"), _user_key(F.col("user_id")).alias("user_key"))
-    columns = {
-        "event_id": F.concat(F.lit("e"), F.col("event_id")),
-        "event_type": kind,
-        "user_key": F.col("user_key"),
-        "session_id": F.concat_ws("-", "user_key", F.date_format(event_ts(ms), "yyyyMMdd")),
-        "timestamp": ms,
-        "client_timestamp": ms - skew,
-        "app_version": F.lit("1.0.0"),
-        "schema_version": F.when(F.col("event_id") % 40 == 0, "1").otherwise("2"),
-        "seq": k % 6,
-        "mode": stage_only(F.when(story, "story").otherwise("time_attack"), ""),
-        "stage_id": stage_only(F.when(story, story_stage).otherwise(attack_stage), ""),
-        "grid_size": stage_only(grid, ""),
-        "time_limit_sec": F.when(on_stage & ~story, 60 * (k % 3 + 1)).otherwise(0),
-        "clear_time_ms": F.when(clear, F.floor(F.col("value") * 100 + 0.5)).otherwise(0),
-        "taps": F.when(clear, k % 30 + 1).otherwise(0),
-        "score": F.when(clear, 100 + 7 * k).otherwise(0),
-        "bonus_collected": F.when(clear, k % 4).otherwise(0),
-        "universal_used": F.when(clear & (k % 10 == 0), 1).otherwise(0),
-        "completion_pct": F.when(source == "error", 20 + k % 66).otherwise(0),
-        "duration_ms": F.lit(0),
-        "platform": F.when(source == "signup", F.when(F.col("user_id") % 2 == 0, "android").otherwise("ios")).otherwise(""),
-        "from_screen": F.when(kind == "navigation", "title").otherwise(""),
-        "to_screen": F.when(kind == "navigation", F.when(k < 50, "stageSelect").otherwise("leaderboard")).otherwise(""),
-        "action": F.when(kind == "item_use", F.when(k % 8 == 0, "purchase").otherwise("use")).otherwise(""),
-        "item_type": F.when(kind == "item_use", "universal_block").otherwise(""),
-        "reason": F.when(source == "error", "timeout").otherwise(""),
-    }
-    return based.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields])
+    columns = [f"CAST({_GAME_EVENT[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in EVENT_SCHEMA.fields]
+    return raw.selectExpr(*_BASE).selectExpr(*columns)
 
 
 def legacy_events(raw: DataFrame) -> DataFrame:
     """First-version events: the details are text fields of a JSON payload, some of them missing or not numeric."""
-    k, source = F.col("k"), F.col("event_type")
-    kind = F.when(source == "purchase", F.when(k % 2 == 0, "story_stage_clear").otherwise("stage_clear"))
-    for name, event_type in LEGACY_TYPES.items():
-        kind = kind.when(source == name, event_type)
-    clear_ms = F.when(k % 10 == 9, None).when(k % 10 == 8, "fast").otherwise(F.floor(F.col("value") * 100 + 0.5).cast("string"))
-    grid = F.when(k % 7 == 0, None).when(k < 50, "3x3").otherwise("4x4")
-    stage = F.when(k % 9 == 0, None).otherwise((k % 50 + 1).cast("string"))
-    payload = F.to_json(F.struct(clear_ms.alias("clear_time_ms"), grid.alias("grid_size"), stage.alias("stage_num")))
-    based = raw.select("*", _k().alias("k"), _ms().alias("timestamp"), _user_key(F.col("user_id")).alias("user_key"))
-    return based.select(
-        F.concat(F.lit("e"), F.col("event_id")).alias("event_id"),
-        kind.otherwise(F.lit("leaderboard_view")).alias("event_type"),
-        "user_key",
-        F.concat_ws("-", "user_key", F.date_format(event_ts(), "yyyyMMdd")).alias("session_id"),
-        "timestamp", F.lit("1").alias("schema_version"), payload.alias("payload"),
-    )
+    return raw.selectExpr(*_BASE).selectExpr(*[f"{text} AS {name}" for name, text in _LEGACY_EVENT.items()])
 
 
 def redelivered(events: DataFrame) -> DataFrame:
@@ -160,7 +146,7 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     customer = spark.read.parquet(f"{folder}/customer.parquet")
     start = F.timestamp_seconds(F.lit(1_704_067_200))
     return customer.select(
-        _user_key(F.col("c_custkey")).alias("user_key"),
+        F.expr(_user_key("c_custkey")).alias("user_key"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("nickname"),
         start.alias("created_at"), start.alias("last_seen_at"),
     )
