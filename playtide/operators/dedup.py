@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playtide.session import shared_dir
+from playtide.session import written
 
 TTL_MS = 3_600_000
 
@@ -61,22 +61,21 @@ def _next_pass(nodes: DataFrame, ttl_ms: int) -> DataFrame:
 
 def _passes(nodes: DataFrame, ttl_ms: int) -> DataFrame:
     """(key, at) of every pass after the first, for keys with distinct copy times ``nodes``."""
-    shared_dir(nodes.sparkSession)
-    nodes = nodes.checkpoint()
+    nodes = written(nodes, "copies")
     longest = nodes.groupBy("key").agg((F.max("at") - F.min("at")).alias("span")).agg(F.max("span")).first()[0]
     if longest is None:
-        return nodes.select("key", "at").limit(0)
-    jump = _next_pass(nodes, ttl_ms).filter(F.col("nxt").isNotNull()).checkpoint()
+        return nodes
+    jump = written(_next_pass(nodes, ttl_ms).filter(F.col("nxt").isNotNull()), "jumps")
     reached = nodes.groupBy("key").agg(F.min("at").alias("at"))
     steps = longest // ttl_ms
     covered = 0
     while covered < steps:
         hop = reached.join(jump, ["key", "at"]).select("key", F.col("nxt").alias("at"))
-        reached = reached.unionByName(hop).checkpoint()
+        reached = written(reached.unionByName(hop), "passes")
         covered = 2 * covered + 1
         if covered < steps:
             onward = jump.select("key", F.col("at").alias("nxt"), F.col("nxt").alias("far"))
-            jump = jump.join(onward, ["key", "nxt"]).select("key", "at", F.col("far").alias("nxt")).checkpoint()
+            jump = written(jump.join(onward, ["key", "nxt"]).select("key", "at", F.col("far").alias("nxt")), "jumps")
     return reached
 
 
@@ -86,7 +85,7 @@ def dedup(df: DataFrame, key: str = "event_id", ttl_ms: int = TTL_MS, time_col:
     ``time_col`` is the arrival clock in epoch milliseconds.
     """
     spans = df.groupBy(key).agg(F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
-    repeated = spans.filter(F.col("_hi") - F.col("_lo") >= F.lit(ttl_ms)).select(key, "_lo")
+    repeated = written(spans.filter(F.col("_hi") - F.col("_lo") >= F.lit(ttl_ms)).select(key, "_lo"), "repeated")
     copies = df.join(repeated, key)
     nodes = copies.select(F.col(key).alias("key"), F.col(time_col).alias("at")).distinct()
     passes = _passes(nodes, ttl_ms).select(F.col("key").alias(key), F.col("at").alias(time_col))

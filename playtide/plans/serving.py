@@ -11,14 +11,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtide.schema import LEADERBOARD_SCHEMA, names
+from playtide.session import written
 
 # Page size limits.
 DEFAULT_PAGE = 20
 MAX_PAGE = 100
 
 RESULT = ("score", "stages_cleared", "avg_clear_ms")
-#: Scores of one block are ranked within the block; blocks are few because scores are integers.
-_SCORE_BLOCK = 1 << 16
 
 
 def append_scores(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -59,34 +58,31 @@ def best_scores(
 def rank_scores(best: DataFrame) -> DataFrame:
     """Add ``rank``, the dense rank of each user's result.
 
-    The rank of a result is one more than the number of distinct better results: those of a better block of scores, of
-    a better score in the block, and of the same score with a better rest. Each step sorts a bounded set: blocks, the
-    65,536 scores of a block, and the results that share a score and number of stages.
+    The rank of a result is one more than the number of distinct better results. They are counted digit by digit: each
+    column of the result is split into two digits of 16 bits, and a result is behind those with the same leading digits
+    and a smaller next one. So no sort sees more than the 65,537 values of one digit, and the tables joined on the way
+    are counts per leading digits.
     """
-    block = F.floor(F.col("score") / F.lit(_SCORE_BLOCK))
-    results = best.select(*RESULT).distinct()
-    per_stages = results.groupBy("score", "stages_cleared").agg(F.count(F.lit(1)).alias("n"))
-    per_score = per_stages.groupBy("score").agg(F.sum("n").alias("n")).withColumn("block", block)
-    per_block = per_score.groupBy("block").agg(F.sum("n").alias("n"))
-
-    def better(parent: list[str], order: str) -> Column:
-        above = Window.partitionBy(*parent).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("n").over(above), F.lit(0))
-
-    blocks = per_block.select("block", better([], "block").alias("in_blocks"))
-    scores = per_score.select("score", "block", better(["block"], "score").alias("in_scores"))
-    stages = per_stages.select("score", "stages_cleared", better(["score"], "stages_cleared").alias("in_stages"))
-    times = Window.partitionBy("score", "stages_cleared").orderBy(F.asc_nulls_last("avg_clear_ms"))
-    ranked = (
-        results.withColumn("in_times", F.row_number().over(times))
-        .join(stages, ["score", "stages_cleared"])
-        .join(scores, "score")
-        .join(blocks, "block")
-        .select(*RESULT, sum((F.col(c) for c in ("in_blocks", "in_scores", "in_stages")), F.col("in_times")).alias("rank"))
-    )
-    keyed = ranked.select(*[F.col(c).alias(f"_{c}") for c in RESULT], "rank")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in RESULT]
-    return best.join(keyed, same).drop(*[f"_{c}" for c in RESULT])
+    ascending = (-F.col("score").cast("bigint"), -F.col("stages_cleared").cast("bigint"), F.col("avg_clear_ms").cast("bigint"))
+    digits: dict[str, Column] = {}
+    for number, value in enumerate(ascending):
+        # A missing time sorts behind every 32-bit number.
+        value = F.coalesce(value, F.lit(1 << 32))
+        digits |= {f"_d{number}a": F.floor(value / F.lit(1 << 16)), f"_d{number}b": value}
+    keys = list(digits)
+    results = written(best.select(*RESULT).distinct().withColumns(digits), "results")
+
+    ahead = None
+    for depth in range(1, len(keys) + 1):
+        prefix, parent = keys[:depth], keys[: depth - 1]
+        smaller = Window.partitionBy(*parent).orderBy(keys[depth - 1]).rowsBetween(Window.unboundedPreceding, -1)
+        counts = results.groupBy(*prefix).agg(F.count(F.lit(1)).alias("_n"))
+        here = counts.select(*prefix, F.coalesce(F.sum("_n").over(smaller), F.lit(0)).alias("_here"))
+        ahead = here.withColumnRenamed("_here", "_ahead") if ahead is None else (
+            here.join(ahead, parent).select(*prefix, (F.col("_ahead") + F.col("_here")).alias("_ahead"))
+        )
+    ranks = ahead.select(*keys, (F.col("_ahead") + 1).alias("rank"))
+    return best.withColumns(digits).join(ranks, keys).drop(*keys)
 
 
 def leaderboard_page(best: DataFrame, limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings every job needs. Session time zone UTC makes day and hour buckets the same on every cluster;
 #: merging sessions before the shuffle keeps one very active user from filling a single reducer; large keyed state
@@ -56,3 +56,13 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, for a table or a streaming checkpoint."""
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result below the shared folder and read it back.
+
+    This cuts the lineage, survives lost executors, and gives the planner the real size for its choice of join.
+    """
+    path = work_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -101,7 +101,7 @@ def test_sessions(spark, gap_ms):
     assert got == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("ttl_ms", [3_600_000, 100_000, 7_000])
+@pytest.mark.parametrize("ttl_ms", [3_600_000, 400_000, 60_000])
 def test_dedup(spark, ttl_ms):
     rng = random.Random(ttl_ms)
     data = [
