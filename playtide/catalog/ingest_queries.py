@@ -8,7 +8,7 @@ from playtide.operators import ingest
 from playtide.schema import ALERT_FACT_SCHEMA, EVENT_SCHEMA, SESSION_FACT_SCHEMA, SESSION_SCHEMA, names
 from playtide.session import work_path
 from playtide.sources import star_tables, tables
-from playtide.sources.stages import dim_stage
+from playtide.sources.stages import STAGES, dim_stage
 
 # How the request builder breaks limits, in SQL.
 _REQUESTS = """SELECT *, seq % 3 + 1 AS many, CASE WHEN (seq + completion_pct) % 7 = 6 THEN '3' ELSE schema_version END AS sent_version,
@@ -154,17 +154,20 @@ coalesce(try_cast(split_part(stage_id, '-', 2) AS INTEGER), 0) AS stage_number F
         stage_part("stage_id", 2).alias("stage_number"),
     )
 )
+_CATALOGUE = ", ".join(
+    f"('{(i - 1) // 10 + 1}-{(i - 1) % 10 + 1}', '{r}x{c}', {(i - 1) // 10 + 1}, {w}, {d}, {b})" for i, r, c, w, d, _, b in STAGES
+)
 query(
     "clears_with_stage_data",
-    """SELECT event_id, CASE WHEN chapter = 1 THEN '3x3' WHEN id <= 12 THEN '3x4' WHEN id <= 14 THEN '4x3' WHEN id <= 30 THEN '4x4'
-WHEN id = 31 THEN '4x5' WHEN id = 32 THEN '5x4' ELSE '5x5' END AS catalogue_grid, chapter
-FROM (SELECT *, (chapter - 1) * 10 + CAST(split_part(stage_id, '-', 2) AS INTEGER) AS id FROM
-(SELECT *, CAST(split_part(stage_id, '-', 1) AS INTEGER) AS chapter FROM ev WHERE event_type = 'stage_clear' AND mode = 'story'))""",
+    f"""SELECT event_id, s.grid AS catalogue_grid, s.chapter, CAST(least(5, floor(CAST(w AS DOUBLE) * CAST(2.5 AS DOUBLE)
++ d * CAST(0.7 AS DOUBLE) + b * CAST(0.3 AS DOUBLE) + CAST(0.5 AS DOUBLE))) AS INTEGER) AS difficulty
+FROM ev JOIN (VALUES {_CATALOGUE}) AS s(id, grid, chapter, w, d, b) ON s.id = ev.stage_id
+WHERE event_type = 'stage_clear' AND mode = 'story'""",
 )(
     lambda t: t.current.filter((F.col("event_type") == "stage_clear") & (F.col("mode") == "story"))
     .select("event_id", "stage_id")
-    .join(F.broadcast(dim_stage(t.spark).select("stage_id", "chapter", F.col("grid_size").alias("catalogue_grid"))), "stage_id")
-    .select("event_id", "catalogue_grid", "chapter")
+    .join(F.broadcast(dim_stage(t.spark).withColumnRenamed("grid_size", "catalogue_grid")), "stage_id")
+    .select("event_id", "catalogue_grid", "chapter", "difficulty")
 )
 
 # Stored tables

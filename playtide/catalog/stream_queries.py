@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame
 
 from playtide.catalog.registry import WIDE_COUNT, WIDE_GAP_MS, WIDE_WINDOW_MS, Tables, query
-from playtide.catalog.rule_queries import _ALERT_COLUMNS, _ORDER, _SESSION_COLUMNS
-from playtide.operators import ingest
+from playtide.catalog.rule_queries import _ALERT_COLUMNS, _LATEST, _ORDER, _SESSION_COLUMNS
+from playtide.operators import ingest, rollups
 from playtide.schema import ALERT_FACT_SCHEMA, SESSION_FACT_SCHEMA
 from playtide.session import work_path
 from playtide.sources import star_tables, tables
@@ -92,3 +92,30 @@ def _stream_ingest(t: Tables) -> DataFrame:
         t.spark.read.parquet(refused).selectExpr("error AS outcome")
     )
     return outcomes.groupBy("outcome").agg({"*": "count"}).withColumnRenamed("count(1)", "n")
+
+
+def _parts(t: Tables, summarise, purpose: str, stream: DataFrame) -> DataFrame:
+    root = work_path(t.spark, purpose)
+    jobs.start_partials(stream, summarise, f"{root}/parts", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return jobs.read_parts(t.spark, f"{root}/parts")
+
+
+query("stream_daily_summary", "SELECT day_text AS day, user_key, mode, clears, fails FROM daily")(
+    lambda t: rollups.sum_parts(
+        _parts(t, rollups.daily_user_summary, "daily", ingest.only_version(_events_stream(t))), ["day", "user_key", "mode"]
+    )
+)
+query("stream_stage_difficulty", "SELECT mode, stage_id, clears, attempts, clear_ms, timed_clears FROM stage")(
+    lambda t: rollups.sum_parts(
+        _parts(t, rollups.stage_difficulty, "stages", ingest.only_version(_events_stream(t))), ["mode", "stage_id"]
+    )
+)
+
+
+@query("stream_latest_by_key", _LATEST.format(rows="ev"))
+def _stream_latest(t: Tables) -> DataFrame:
+    """Parts keep deletes, so that a delete in a later part still counts."""
+    key, version = ["user_key"], ["timestamp", "event_id"]
+    changes = star_tables.user_changes(ingest.only_version(_events_stream(t)))
+    parts = _parts(t, lambda batch: rollups.latest_by_key(batch, key, version, op=None), "latest", changes)
+    return rollups.latest_by_key(parts, key, version)

@@ -39,18 +39,19 @@ def stage_difficulty(df: DataFrame) -> DataFrame:
     )
 
 
+def sum_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add up any number of partial rows of an additive rollup."""
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in parts.columns if c not in keys])
+
+
 def merge_rollup(old: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add a new delta to a stored additive rollup."""
-    sums = [c for c in old.columns if c not in keys]
-    return old.unionByName(delta).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+    return sum_parts(old.unionByName(delta), keys)
 
 
 def finalize_stage(parts: DataFrame) -> DataFrame:
     """Clear rate in per cent and mean clear time per (mode, stage), from any number of partial rows."""
-    total = parts.groupBy("mode", "stage_id").agg(
-        *[F.sum(c).alias(c) for c in ("clears", "attempts", "clear_ms", "timed_clears")]
-    )
-    return total.withColumns({
+    return sum_parts(parts, ["mode", "stage_id"]).withColumns({
         "clear_rate": F.col("clears") * F.lit(100.0) / F.greatest(F.col("attempts"), F.lit(1)),
         "avg_clear_ms": F.try_divide(F.col("clear_ms").cast("double"), F.col("timed_clears").cast("double")),
     })

@@ -6,6 +6,7 @@ from its own checkpoint after a failure, and none of them depends on data kept b
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,6 +87,26 @@ def start_ingest(
     return _triggered(requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now).start()
 
 
+def start_partials(
+    df: DataFrame, summarise: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Keep a rollup or a latest-state table up to date: each micro-batch adds its own summary to the table of parts.
+
+    Readers combine the parts (``sum_parts``, ``latest_by_key``), so a new micro-batch never rewrites older rows, and a
+    repeated one replaces its part.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        summarise(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return _triggered(df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now).start()
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """All parts written by :func:`start_partials`."""
+    return spark.read.parquet(path).drop("batch_id")
+
+
 @dataclass(frozen=True)
 class JobPaths:
     """Where a job keeps its tables and checkpoints, below one folder all executors reach."""
