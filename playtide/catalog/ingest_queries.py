@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from playtide.catalog.registry import WIDE_GAP_MS, query
 from playtide.functions import clear_points, json_number, json_text, score_cap, stage_part
 from playtide.operators import ingest
+from playtide.operators.sessions import session_summary
 from playtide.schema import ALERT_FACT_SCHEMA, EVENT_SCHEMA, SESSION_FACT_SCHEMA, SESSION_SCHEMA, names
 from playtide.session import work_path
 from playtide.sources import star_tables, tables
@@ -184,7 +185,11 @@ def _stored_events(t):
     return stored.select(*_EVENT_COLUMNS.replace('"', "").split(", "), "month")
 
 
-@query("stored_sessions", "SELECT user_key, session_start, total_events, strftime(make_timestamp(session_start * 1000), '%Y%m') AS month, TRUE AS stamped FROM sess")
+@query(
+    "stored_sessions",
+    """SELECT user_key, session_start, total_events, strftime(make_timestamp(session_start * 1000), '%Y%m') AS month,
+TRUE AS stamped FROM sess""",
+)
 def _stored_sessions(t):
     path = work_path(t.spark, "fact-sessions")
     tables.write_fact_sessions(t.sessions, path)
@@ -193,7 +198,10 @@ def _stored_sessions(t):
     )
 
 
-@query("stored_alerts", "SELECT event_id, alert_type, stage_id, strftime(make_timestamp(detected_at * 1000), '%Y%m') AS month FROM alerts")
+@query(
+    "stored_alerts",
+    "SELECT event_id, alert_type, stage_id, strftime(make_timestamp(detected_at * 1000), '%Y%m') AS month FROM alerts",
+)
 def _stored_alerts(t):
     path = work_path(t.spark, "fact-alerts")
     tables.write_fact_alerts(t.alerts, path)
@@ -207,11 +215,13 @@ def _jsonl_round_trip(t):
     return tables.read_jsonl(t.spark, path).select(*_EVENT_COLUMNS.replace('"', "").split(", "))
 
 
-@query("appended_table", f"SELECT user_key, session_start, duration_ms FROM sess UNION ALL SELECT user_key, session_start, duration_ms FROM sess5")
+@query(
+    "appended_table",
+    """SELECT user_key, session_start, duration_ms FROM sess
+UNION ALL SELECT user_key, session_start, duration_ms FROM sess5""",
+)
 def _appended_table(t):
     """Two appends of session rows to one table."""
-    from playtide.operators.sessions import session_summary
-
     path = work_path(t.spark, "appended")
     for gap in (WIDE_GAP_MS, 300_000):
         tables.append_table(session_summary(t.current, gap).select(*names(SESSION_SCHEMA)), path)

@@ -1,6 +1,7 @@
 """Column expressions shared by the operators and the reports."""
 
 from playtide.functions.expressions import (
+    bucket,
     clear_points,
     day,
     event_ts,
@@ -19,6 +20,6 @@ from playtide.functions.expressions import (
 )
 
 __all__ = [
-    "clear_points", "day", "event_ts", "hour_label", "is_bot", "json_number", "json_text", "late", "latency_ms",
+    "bucket", "clear_points", "day", "event_ts", "hour_label", "is_bot", "json_number", "json_text", "late", "latency_ms",
     "local_hour", "mean", "per_cent", "rounded", "score_cap", "stage_part",
 ]

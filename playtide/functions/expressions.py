@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -102,9 +104,15 @@ def score_cap(grid: Column | str = "grid_size") -> Column:
     return cap.otherwise(F.lit(DEFAULT_SCORE_CAP))
 
 
+def bucket(value: Column, limits: Sequence[tuple[float, object]], last: object, inclusive: bool = False) -> Column:
+    """The label of the first limit the value is below (or, inclusive, not above), else ``last``."""
+    label = F.lit(last)
+    for limit, name in reversed(limits):
+        label = F.when((value <= limit) if inclusive else (value < limit), F.lit(name)).otherwise(label)
+    return label
+
+
 def clear_points(mode: Column, clear_time_ms: Column, bonus: Column) -> Column:
     """Points the game awards for one clear."""
-    speed = F.lit(0)
-    for limit, points in reversed(SPEED_POINTS):
-        speed = F.when(clear_time_ms < limit, F.lit(points)).otherwise(speed)
+    speed = bucket(clear_time_ms, SPEED_POINTS, 0)
     return F.lit(BASE_POINTS) + F.when(mode == "time_attack", speed).otherwise(0) + bonus * F.lit(BONUS_POINTS)

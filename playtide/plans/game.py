@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from playtide.functions import day, hour_label, mean, per_cent, rounded, stage_part
+from playtide.functions import bucket, day, hour_label, mean, per_cent, rounded, stage_part
 from playtide.functions.expressions import REPORT_ZONE
 from playtide.operators.rollups import PLAYS, finalize_stage
 from playtide.plans.operations import scope
@@ -88,7 +88,8 @@ def retention(events: DataFrame, bots: bool = False, days: tuple[int, ...] = RET
 
 def play_hours(events: DataFrame, zone: str = REPORT_ZONE) -> DataFrame:
     """Plays per hour of day on the report's wall clock."""
-    return scope(events, *PLAYS).groupBy(hour_label(zone=zone).alias("hour_kst")).agg(F.count(F.lit(1)).alias("events")).orderBy("hour_kst")
+    hours = scope(events, *PLAYS).groupBy(hour_label(zone=zone).alias("hour_kst"))
+    return hours.agg(F.count(F.lit(1)).alias("events")).orderBy("hour_kst")
 
 
 def _when_mode(mode: str, value: str) -> Column:
@@ -138,16 +139,9 @@ def story_funnel(events: DataFrame, bots: bool = False) -> DataFrame:
     )
 
 
-def _bucket(value: Column, limits, last: str, inclusive: bool) -> Column:
-    label = F
-    for limit, name in limits:
-        label = label.when((value <= limit) if inclusive else (value < limit), name)
-    return label.otherwise(last)
-
-
 def time_attack_reach(events: DataFrame) -> DataFrame:
     """Users by time-attack stage they started."""
-    reached = _bucket(stage_part("stage_id", 2), REACH_BUCKETS, LAST_REACH_BUCKET, inclusive=True)
+    reached = bucket(stage_part("stage_id", 2), REACH_BUCKETS, LAST_REACH_BUCKET, inclusive=True)
     return (
         scope(events, "stage_start", mode="time_attack")
         .filter(F.col("stage_id").like("ta-%"))
@@ -275,9 +269,9 @@ def fail_progress(events: DataFrame) -> DataFrame:
 
 def fail_progress_buckets(events: DataFrame) -> DataFrame:
     """Fails by quarter of progress."""
-    bucket = _bucket(F.col("completion_pct"), PROGRESS_BUCKETS, LAST_PROGRESS_BUCKET, inclusive=False)
+    quarter = bucket(F.col("completion_pct"), PROGRESS_BUCKETS, LAST_PROGRESS_BUCKET)
     return (
-        _fails(events).groupBy(bucket.alias("progress_bucket"))
+        _fails(events).groupBy(quarter.alias("progress_bucket"))
         .agg(F.count(F.lit(1)).alias("cnt"))
         .orderBy("progress_bucket")
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playtide.functions import day, is_bot, late, latency_ms, local_hour, mean, per_cent, rounded
+from playtide.functions import bucket, day, is_bot, late, latency_ms, local_hour, mean, per_cent, rounded
 from playtide.functions.expressions import LATE_MS, REPORT_ZONE
 from playtide.operators.ingest import CURRENT_SCHEMA_VERSION
 
@@ -150,10 +150,9 @@ def flagged_users(alerts: DataFrame) -> DataFrame:
 def latency_buckets(events: DataFrame) -> DataFrame:
     """Events by distance between server and client clock, with their share in per cent."""
     distance = F.abs(latency_ms())
-    label, number = F, F
-    for position, (limit, name) in enumerate(LATENCY_BUCKETS, start=1):
-        label, number = label.when(distance < limit, name), number.when(distance < limit, position)
-    label, number = label.otherwise(LAST_LATENCY_BUCKET), number.otherwise(len(LATENCY_BUCKETS) + 1)
+    label = bucket(distance, LATENCY_BUCKETS, LAST_LATENCY_BUCKET)
+    numbers = [(limit, position) for position, (limit, _) in enumerate(LATENCY_BUCKETS, start=1)]
+    number = bucket(distance, numbers, len(numbers) + 1)
     counts = scope(events).groupBy(label.alias("bucket"), number.alias("bucket_no")).agg(F.count(F.lit(1)).alias("cnt"))
     everything = Window.partitionBy()  # over at most five rows
     return (
