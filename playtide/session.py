@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +24,25 @@ RUNTIME_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application, so that no node needs it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    # Spark serves the archive from here while the application runs.
+    folder = Path(tempfile.mkdtemp(prefix="playtide-package-")).resolve()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(str(folder / package.name), "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+    """Apply the runtime settings to a session somebody else created, and give its workers this package."""
+    ship(spark)
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

@@ -4,9 +4,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from playtide import catalog
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def test_entry(spark):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
