@@ -78,11 +78,12 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write an intermediate result below the shared folder and read it back.
 
-    This cuts the lineage, survives lost executors, and gives the planner the real size for its choice of join.
+    This cuts the lineage, survives lost executors, and gives the planner the real size for its choice of join. ``options`` are
+    the writer's.
     """
     path = work_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
