@@ -4,10 +4,12 @@ The trie is trained on a corpus and then fixed, so a byte's probability depends
 the model a table keyed by byte grams (context and symbol packed into one long), which Spark aggregates, splits and joins like any
 other table: no task and no driver holds the whole trie.
 
-* Counting: documents are dealt into blocks; each block sends its distinct words and grams with their training counts.
+* Blocks: each task packs its documents, compressed, into blocks of some megabytes that are written once and read twice.
+* Counting: each block sends its distinct words and grams with their training counts.
 * Model: grams are dealt by their two last context bytes. All longer contexts of such a group lie in the group, so one task can
   resolve its escapes down to order 2 by itself; orders 1 and 0 (at most 258 x 257 rows, a fixed bound) go to every task.
-* Scoring: each block gets back the log probabilities of its own grams and the counts of its own words, next to its documents.
+* Scoring: each block gets back the log probabilities of its own grams, and the counts of those of its words that other blocks'
+  training texts hold too (the rest it has counted itself), next to its documents.
 
 Escapes follow method D: a context with total R and D symbols (both without the symbols excluded by the longer context) gives a
 symbol of count c (2c - 1) / 2R and leaves D / 2R to the shorter context. Lower orders count how many longer contexts a symbol was
@@ -21,17 +23,23 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.common import LOWER, block_count, fold, sliced, table, texts
+from playtide.llm.common import LOWER, fold, sliced, table, texts
 from playtide.session import written
 
 #: Bytes of context. Each symbol takes 9 bits, so a gram of seven symbols still fits a long.
 ORDER = 5
 BITS, END = 9, 257
+#: What an unseen word adds to the base score, before its share of the total.
+HALF = math.log10(0.5)
 #: Text bytes of a block of documents, and of a step within it.
-BLOCK_BYTES, STEP_BYTES = 16 << 20, 2 << 20
+BLOCK_BYTES, STEP_BYTES = 32 << 20, 2 << 20
+BLOCK = "block long, ids array<long>, learn array<boolean>, ends array<long>, packed binary"
 
 
 def grams(docs: list[bytes], order: int = ORDER) -> np.ndarray:
@@ -57,27 +65,68 @@ def _summed(parts: list[tuple], of: pa.DataType) -> tuple[pa.Array, np.ndarray]:
     return keys.dictionary, sums.astype(np.int64)
 
 
-def _count_block(rows: pa.Table) -> pa.Table:
-    docs = [x.translate(LOWER) for x in texts(rows["text"])]
-    learn = rows["learn"].to_numpy()
-    words, coded = [], []
-    for part in sliced(docs, STEP_BYTES):
-        split = [x.split() for x in docs[part]]
-        lengths = [len(x) for x in split]
-        found = pa.array([w for x in split for w in x], pa.binary()).dictionary_encode()
-        counted = np.bincount(found.indices.to_numpy(), weights=np.repeat(learn[part], lengths), minlength=len(found.dictionary))
-        words.append((found.dictionary, counted))
-        places, distinct = pd.factorize(grams(docs[part]))
-        lengths = [len(x) + 1 for x in docs[part]]
-        coded.append((distinct, np.bincount(places, weights=np.repeat(learn[part], lengths), minlength=len(distinct))))
-    word, n_word = _summed(words, pa.binary())
-    gram, n_gram = _summed(coded, pa.int64())
-    return pa.table({
-        "block": pa.array(np.full(len(word) + len(gram), rows["block"][0].as_py()), pa.int64()),
-        "word": pa.concat_arrays([word, pa.nulls(len(gram), pa.binary())]),
-        "gram": pa.concat_arrays([pa.nulls(len(word), pa.int64()), gram]),
-        "n": pa.array(np.concatenate([n_word, n_gram]), pa.int64()),
-    })
+def _pack(batches):
+    """Blocks of whole documents, lower-cased, in the order they come."""
+    ids, learn, docs, size, block = [], [], [], 0, TaskContext.get().partitionId() << 32
+
+    def packed() -> pa.RecordBatch:
+        ends = np.cumsum([len(x) for x in docs])
+        return pa.record_batch([
+            pa.array([block], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([learn], pa.list_(pa.bool_())),
+            pa.array([ends], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(docs), 3)], pa.binary()),
+        ], ["block", "ids", "learn", "ends", "packed"])
+
+    for batch in batches:
+        for doc_id, learnt, text in zip(batch["doc_id"].to_pylist(), batch["learn"].to_pylist(), texts(batch["text"])):
+            if size and size + len(text) > BLOCK_BYTES:
+                yield packed()
+                ids, learn, docs, size, block = [], [], [], 0, block + 1
+            ids.append(doc_id)
+            learn.append(learnt)
+            docs.append(text.translate(LOWER))
+            size += len(text)
+    if ids:
+        yield packed()
+
+
+def _unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
+    flat, ends = zstandard.decompress(row["packed"]), row["ends"]
+    return [flat[a:b] for a, b in zip([0, *ends], ends)], np.array(row["learn"], bool)
+
+
+def _words(docs: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words of the texts, dictionary-encoded, and the place of each word's text."""
+    split = [x.split() for x in docs]
+    owner = np.repeat(np.arange(len(docs)), [len(x) for x in split])
+    return pa.array([w for x in split for w in x], pa.binary()).dictionary_encode(), owner
+
+
+def _distinct_words(parts: list[tuple[pa.DictionaryArray, np.ndarray]], learn: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
+    """The block's distinct words, and how often its learnt texts have them."""
+    return _summed([
+        (found.dictionary, np.bincount(found.indices.to_numpy(), weights=learnt[owner], minlength=len(found.dictionary)))
+        for (found, owner), learnt in zip(parts, learn)], pa.binary())
+
+
+def _counts(batches):
+    for batch in batches:
+        for row in batch.to_pylist():
+            docs, learn = _unpacked(row)
+            parts, coded = sliced(docs, STEP_BYTES), []
+            word, n_word = _distinct_words([_words(docs[part]) for part in parts], [learn[part] for part in parts])
+            for part in parts:
+                places, distinct = pd.factorize(grams(docs[part]))
+                weights = np.repeat(learn[part], [len(x) + 1 for x in docs[part]])
+                coded.append((distinct, np.bincount(places, weights=weights, minlength=len(distinct))))
+            gram, n_gram = _summed(coded, pa.int64())
+            # In order, rows compress far better on their way.
+            by_word, by_gram = pc.sort_indices(word), np.argsort(gram.to_numpy())
+            word, n_word, gram, n_gram = word.take(by_word), n_word[by_word.to_numpy()], gram.take(pa.array(by_gram)), n_gram[by_gram]
+            yield pa.record_batch([
+                pa.array(np.full(len(word) + len(gram), row["block"]), pa.int64()),
+                pa.concat_arrays([word, pa.nulls(len(gram), pa.binary())]), pa.concat_arrays([pa.nulls(len(word), pa.int64()), gram]),
+                pa.array(np.concatenate([n_word, n_gram]), pa.int64()),
+            ], ["block", "word", "gram", "n"])
 
 
 class _Level:
@@ -150,44 +199,46 @@ def gram_log10(gram: np.ndarray, n: np.ndarray, pairs: tuple[np.ndarray, np.ndar
     return out
 
 
-def _model_block(pairs: tuple[np.ndarray, np.ndarray], order: int):
+def _model_block(pairs: tuple[np.ndarray, np.ndarray]):
     def run(rows: pa.Table) -> pa.Table:
         gram, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
-        return pa.table({"gram": gram, "value": gram_log10(gram, n, pairs, order)})
+        return pa.table({"gram": gram, "value": gram_log10(gram, n, pairs)})
 
     return run
 
 
-def _score_block(key: tuple, docs: pa.Table, lexicon: pa.Table) -> pa.Table:
-    found = [x.translate(LOWER) for x in texts(docs["text"])]
+def _score_block(key: tuple, block: pa.Table, lexicon: pa.Table) -> pa.Table:
+    row = block.to_pylist()[0]
+    docs, learn = _unpacked(row)
     is_gram = lexicon["gram"].is_valid().to_numpy()
     value = lexicon["value"].to_numpy()
     gram = lexicon["gram"].filter(pa.array(is_gram)).to_numpy()
     order = np.argsort(gram)
     gram, gram_value = gram[order], value[is_gram][order]
-    seen = dict(zip(lexicon["word"].filter(pa.array(~is_gram)).to_pylist(), value[~is_gram].tolist()))
-    n_tokens, n_known, base, score = [], [], [], []
-    # The word part of the base score needs N and V, which are known later: send sum of logs of (c + 0.5) and the count.
-    half = math.log10(0.5)
-    for part in sliced(found, STEP_BYTES):
-        places, distinct = pd.factorize(grams(found[part]))
-        logs = gram_value[np.searchsorted(gram, distinct)][places] if len(distinct) else np.zeros(0)
-        firsts = np.cumsum([0, *(len(x) + 1 for x in found[part])])[:-1]
-        score.append(np.add.reduceat(logs, firsts) if len(firsts) else np.zeros(0))
-        for x in found[part]:
-            got = [seen.get(w, half) for w in x.split()]
-            n_tokens.append(len(got) + 1)
-            n_known.append(len(got) - got.count(half))
-            base.append(math.fsum(got))
+    # Words of learnt texts, by the block's own count; then those that others hold too, by the whole count.
+    parts = sliced(docs, STEP_BYTES)
+    split = [_words(docs[part]) for part in parts]
+    word, n = _distinct_words(split, [learn[part] for part in parts])
+    word_value = np.log10(n + 0.5)
+    word_value[pc.index_in(lexicon["word"].filter(pa.array(~is_gram)).combine_chunks(), word).to_numpy()] = value[~is_gram]
+    n_tokens, n_known, base, scores = [], [], [], []
+    # The base score needs N and V, which come later: only the sum of log10(c + 0.5) is taken here.
+    for part, (found, owner) in zip(parts, split):
+        places, distinct = pd.factorize(grams(docs[part]))
+        logs = gram_value[np.searchsorted(gram, distinct)][places]
+        scores.append(np.add.reduceat(logs, np.cumsum([0, *(len(x) + 1 for x in docs[part])])[:-1]))
+        got = word_value[pc.index_in(found.dictionary, word).to_numpy()][found.indices.to_numpy()]
+        size = part.stop - part.start
+        n_tokens.append(np.bincount(owner, minlength=size) + 1)
+        n_known.append(np.bincount(owner, weights=got > HALF, minlength=size).astype(np.int64))
+        base.append(np.bincount(owner, weights=got, minlength=size))
     return pa.table({
-        "doc_id": docs["doc_id"], "learn": docs["learn"],
-        "n_tokens": pa.array(n_tokens, pa.int64()), "n_known": pa.array(n_known, pa.int64()),
-        "word_log10": pa.array(base, pa.float64()),
-        "score": pa.array(np.concatenate(score) if score else np.zeros(0), pa.float64()),
+        "doc_id": pa.array(row["ids"], pa.int64()), "learn": learn, "n_tokens": np.concatenate(n_tokens), "n_known": np.concatenate(n_known),
+        "word_log10": np.concatenate(base), "score": np.concatenate(scores),
     })
 
 
-def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Score every row of ``docs`` by the model learnt from the rows where ``learn`` holds.
 
     Returns doc_id, learn, n_tokens (words and one end), n_known (tokens seen in training), train_tokens, base_score (log10 under
@@ -196,13 +247,11 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     A null text counts as empty and still has its end; a null ``learn`` as false; repeated rows are scored, and learnt from, each;
     other columns are not read. Without training rows every byte has probability 1 / 257. An empty table gives an empty table.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    blocks = block_count(rows, F.col("text"), BLOCK_BYTES)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    needed = written(
-        rows.groupBy("block").applyInArrow(_count_block, "block long, word binary, gram long, n long"), "ppm-needed")
-
-    words = needed.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    blocks = written(rows.mapInArrow(_pack, BLOCK), "ppm-blocks")
+    needed = written(blocks.mapInArrow(_counts, "block long, word binary, gram long, n long"), "ppm-needed", compression="zstd")
+    words = written(needed.filter("word is not null and n > 0").groupBy("word").agg(F.sum("n").alias("total")), "ppm-words")
     gram = written(needed.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "ppm-grams")
 
     # Order-1 grams with the number of order-2 contexts they were seen in: at most 258 x 257 rows.
@@ -212,17 +261,15 @@ def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "t
     buckets = max(1, math.ceil(gram.count() / 250_000))
     model = gram.withColumn(
         "bucket", F.pmod(F.xxhash64(F.shiftright("gram", BITS).bitwiseAND(_mask(1))), F.lit(buckets))
-    ).groupBy("bucket").applyInArrow(_model_block(pairs, order), "gram long, value double")
+    ).groupBy("bucket").applyInArrow(_model_block(pairs), "gram long, value double")
 
+    elsewhere = needed.filter("word is not null").join(words, "word").filter("n != total")
     lexicon = needed.filter("gram is not null").select("block", "gram").join(model, "gram").select(
         "block", F.lit(None).cast("binary").alias("word"), "gram", "value"
-    ).union(
-        needed.filter("word is not null").select("block", "word").join(words.filter("n > 0"), "word").select(
-            "block", "word", F.lit(None).cast("long"), F.log10(F.col("n") + 0.5))
-    )
-    scored = rows.groupBy("block").cogroup(lexicon.groupBy("block")).applyInArrow(
+    ).union(elsewhere.select("block", "word", F.lit(None).cast("long"), F.log10(F.col("total") + 0.5)))
+    scored = blocks.groupBy("block").cogroup(lexicon.groupBy("block")).applyInArrow(
         _score_block, "doc_id long, learn boolean, n_tokens long, n_known long, word_log10 double, score double")
-    totals = words.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    totals = words.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = rows.agg(F.count_if("learn")).first()[0]
     total, distinct = totals["n"] + ends, totals["v"] + (1 if ends else 0)
     spread = math.log10(total + 0.5 * (distinct + 1))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playtide.llm.common import sliced, table, texts
-from playtide.llm.units import UnitTable
+from playtide.llm.units import UnitTable, in_a_row
 
 MARK = "\u2581"
 #: Pairs of pieces whose boundary weight a worker remembers.
@@ -37,14 +37,14 @@ class Transducer:
         plain = [i for i in range(len(self.pieces)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         self.arcs = {self.pieces[i]: i for i in plain}
         self.score = {self.pieces[i]: model.get_score(i) for i in plain}
-        self.longest = max(map(len, self.arcs))
+        self.starts = {p[:k] for p in self.arcs for k in range(1, len(p) + 1)}
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         if any(MARK in p.lstrip(MARK) for p in self.arcs) or any(c not in self.arcs for p in self.arcs for c in p):
             raise ValueError("pieces must keep marks in front and be made of characters that are pieces")
         self.hidden = {i for i in range(len(self.pieces)) if model.is_control(i)}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.table = UnitTable(self.units, lambda units: map(self.path, units))
+        self.table = UnitTable(self.units, lambda units: in_a_row(map(self.path, units)))
 
     @staticmethod
     def _check_normaliser(model, path: str) -> None:
@@ -93,34 +93,44 @@ class Transducer:
             found = self.pairs[left, right] = self.merged(left + right) == [left, right]
         return found
 
+    def arcs_from(self, unit: str, at: int) -> list[str]:
+        """Pieces that begin here, shortest first; an empty one stands for the byte arcs of a character without a piece."""
+        arcs, starts, out = self.arcs, self.starts, []
+        for end in range(at + 1, len(unit) + 1):
+            text = unit[at:end]
+            if text not in starts:
+                break
+            if text in arcs:
+                out.append(text)
+        return out or [""]
+
     def path(self, unit: str) -> list[int]:
         """Ids along the finite path through one unit."""
-        arcs, n = self.arcs, len(unit)
+        n, at, last = len(unit), 0, ""
         dead: set[int] = set()
-        trail: list[tuple[int, str | None, int]] = []  # start, piece (None: byte arcs), longest length still to try
-        at, last, most = 0, None, self.longest
+        trail: list[tuple[int, str, list[str]]] = []  # where an arc starts, its piece, the arcs still to try there
+        options = self.arcs_from(unit, 0)
         while at < n:
-            chosen = None
-            if unit[at] not in arcs:
+            while options:
+                piece = options.pop()
                 # No merge crosses a character without a piece: its boundaries weigh nothing.
-                chosen = (at, None, 0) if most else None
+                if at + (len(piece) or 1) not in dead and (
+                        not piece or (self.finite(last, piece) if last else self.single(piece))):
+                    trail.append((at, piece, options))
+                    at, last = at + (len(piece) or 1), piece
+                    options = self.arcs_from(unit, at) if at < n else []
+                    break
             else:
-                for length in range(min(most, n - at), 0, -1):
-                    piece = unit[at:at + length]
-                    if piece in arcs and at + length not in dead and (self.finite(last, piece) if last else self.single(piece)):
-                        chosen = (at, piece, length - 1)
-                        break
-            if chosen is None:
                 dead.add(at)
-                at, piece, most = trail.pop()
-                last = trail[-1][1] if trail else None
-                continue
-            trail.append(chosen)
-            last = chosen[1]
-            at += len(last) if last else 1
-            most = self.longest
-        return [i for start, piece, _ in trail for i in (
-            (arcs[piece],) if piece else (self.byte_ids[b] for b in unit[start].encode()))]
+                at, _, options = trail.pop()
+                last = trail[-1][1] if trail else ""
+        out: list[int] = []
+        for start, piece, _ in trail:
+            if piece:
+                out.append(self.arcs[piece])
+            else:
+                out.extend(self.byte_ids[b] for b in unit[start].encode())
+        return out
 
     def single(self, piece: str) -> bool:
         """Whether a piece may come first: merging its own characters gives the piece."""

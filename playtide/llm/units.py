@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
@@ -21,10 +21,16 @@ class _Index(dict):
         return number
 
 
+def in_a_row(encoded: Iterable[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    found = list(encoded)
+    lengths = np.array([len(x) for x in found], np.int64)
+    return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
+
+
 class UnitTable:
-    """``encode_many`` gives the ids of each unit of a list; ``split`` cuts a text into units."""
+    """``encode_many`` gives the ids of a list of units, in a row, and how many each has; ``split`` cuts a text into units."""
 
-    def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], Iterable[list[int]]]):
+    def __init__(self, split: Callable[[str], list[str]], encode_many: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.split, self.encode_many = split, encode_many
         self._clear()
 
@@ -40,11 +46,10 @@ class UnitTable:
         known = len(self.index)
         flat = np.fromiter(map(self.index.__getitem__, chain.from_iterable(units)), np.int64)
         if len(self.index) > known:
-            fresh = list(self.encode_many(list(self.index)[known:]))
-            lengths = np.array([len(x) for x in fresh], np.int64)
+            ids, lengths = self.encode_many(list(islice(self.index, known, None)))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(fresh), np.int32, int(lengths.sum()))])
+            self.ids = np.concatenate([self.ids, ids])
         lengths = self.lengths[flat]
         sums = np.concatenate([[0], np.cumsum(lengths)])
         borders = np.cumsum([0, *(len(x) for x in units)])
