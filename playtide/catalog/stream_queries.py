@@ -1,6 +1,7 @@
 """Streaming jobs, run until the available input is used up; each returns the table the stream wrote."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from playtide.catalog.registry import WIDE_COUNT, WIDE_GAP_MS, WIDE_WINDOW_MS, Tables, query
 from playtide.catalog.rule_queries import _ALERT_COLUMNS, _LATEST, _ORDER, _SESSION_COLUMNS
@@ -8,7 +9,10 @@ from playtide.operators import ingest, rollups
 from playtide.schema import ALERT_FACT_SCHEMA, SESSION_FACT_SCHEMA
 from playtide.session import work_path
 from playtide.sources import star_tables, tables
-from playtide.streaming import jobs, rules
+from playtide.streaming import carried, jobs, rules
+
+
+DAY_MS = 86_400_000
 
 
 def _events_stream(t: Tables) -> DataFrame:
@@ -23,34 +27,72 @@ def _written(t: Tables, stream: DataFrame, purpose: str) -> DataFrame:
     return t.spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-query("stream_dedup", 'SELECT kept.event_id, kept.sent_ms AS "timestamp", ev.user_key FROM kept JOIN ev USING (event_id)')(
-    lambda t: _written(
-        t, rules.dedup_ttl_stream(star_tables.redelivered(ingest.only_version(_events_stream(t)))), "dedup"
-    ).select("event_id", "timestamp", "user_key")
-)
+def _shuffled_files(t: Tables, rows: DataFrame, files: int = 3) -> DataFrame:
+    """A stream over some files of rows, one file a micro-batch: times ascend from file to file, not within one."""
+    path = work_path(t.spark, "arrivals")
+    days = rows.select(F.floor(F.col("timestamp") / DAY_MS).alias("_day")).distinct().withColumn("_part", F.ntile(files).over(Window.orderBy("_day")))
+    split = rows.withColumn("_day", F.floor(F.col("timestamp") / DAY_MS)).join(days, "_day")
+    for part in range(1, files + 1):
+        split.filter(F.col("_part") == part).drop("_day", "_part").orderBy(F.xxhash64("event_id")).coalesce(1).write.parquet(f"{path}/p{part}")
+    reader = t.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+    return reader.option("pathGlobFilter", "*.parquet").parquet(path)
+
+
+def _carried(t: Tables, stream: DataFrame, rule: carried.Rule, purpose: str) -> DataFrame:
+    """Run a rule with carried state over all there is and read its table back."""
+    root = work_path(t.spark, purpose)
+    jobs.start_carried(stream, rule, f"{root}/out", f"{root}/work", f"{root}/checkpoint", available_now=True).awaitTermination()
+    return t.spark.read.parquet(f"{root}/out").drop("batch_id")
+
+
+def _hot(rows: DataFrame) -> DataFrame:
+    """A third of all rows belong to one user."""
+    hot = F.substring("event_id", -1, 1).isin("0", "3", "6")
+    return rows.withColumn("user_key", F.when(hot, F.lit("user_hot")).otherwise(F.col("user_key")))
+
+
+_HOT = """(SELECT * REPLACE (CASE WHEN right(event_id, 1) IN ('0', '3', '6') THEN 'user_hot' ELSE user_key END AS user_key) FROM ev)"""
+
+
+@query("stream_dedup", 'SELECT kept.event_id, kept.sent_ms AS "timestamp", ev.user_key FROM kept JOIN ev USING (event_id)')
+def _stream_dedup(t: Tables) -> DataFrame:
+    sent = star_tables.redelivered(t.current)
+    return _carried(t, _shuffled_files(t, sent), carried.dedup_rule(sent.schema), "dedup").select("event_id", "timestamp", "user_key")
+
+
 query("stream_dedup_watermark", "SELECT DISTINCT event_id, user_key FROM sent")(
     lambda t: _written(
         t, rules.dedup_stream(star_tables.redelivered(ingest.only_version(_events_stream(t)))), "dedup-watermark"
     ).select("event_id", "user_key")
 )
-query(
+@query(
     "stream_user_quality",
     f"""SELECT e.user_key, e.event_id, e.event_no, e.gap_ms, s.seq - s.prev_seq - 1 AS missing
-FROM (SELECT *, row_number() OVER ({_ORDER}) AS event_no, "timestamp" - lag("timestamp") OVER ({_ORDER}) AS gap_ms FROM ev) e
+FROM (SELECT *, row_number() OVER ({_ORDER}) AS event_no, "timestamp" - lag("timestamp") OVER ({_ORDER}) AS gap_ms FROM {_HOT} h) e
 LEFT JOIN (SELECT *, lag(seq) OVER ({_ORDER}) AS prev_seq, lag(session_id) OVER ({_ORDER}) AS prev_session
-FROM ev WHERE seq > 0) s ON s.event_id = e.event_id AND s.prev_session = s.session_id AND s.seq > s.prev_seq + 1""",
-)(
-    lambda t: _written(t, rules.user_quality_stream(ingest.only_version(_events_stream(t))), "quality").select(
-        "user_key", "event_id", "event_no", "gap_ms", "missing"
-    )
+FROM {_HOT} h WHERE seq > 0) s ON s.event_id = e.event_id AND s.prev_session = s.session_id AND s.seq > s.prev_seq + 1""",
+)
+def _stream_user_quality(t: Tables) -> DataFrame:
+    found = _carried(t, _shuffled_files(t, _hot(t.current)), carried.user_quality_rule(), "quality")
+    return found.select("user_key", "event_id", "event_no", "gap_ms", "missing")
+
+
+@query(
+    "stream_rapid_fire",
+    f"""SELECT user_key, event_id, n AS event_count FROM (SELECT user_key, event_id, count(*) OVER (PARTITION BY user_key
+ORDER BY "timestamp" RANGE BETWEEN {WIDE_WINDOW_MS} PRECEDING AND CURRENT ROW) AS n FROM {_HOT} h WHERE event_type = 'stage_clear')
+WHERE n >= {WIDE_COUNT}""",
 )
+def _stream_rapid_fire(t: Tables) -> DataFrame:
+    rule = carried.rapid_fire_rule(WIDE_WINDOW_MS, WIDE_COUNT)
+    return _carried(t, _shuffled_files(t, _hot(t.current)), rule, "rapid").select("user_key", "event_id", "event_count")
 
 
 def _job(t: Tables) -> jobs.JobPaths:
     return jobs.run_available(_events_stream(t), work_path(t.spark, "job"), WIDE_GAP_MS, WIDE_WINDOW_MS, WIDE_COUNT)
 
 
-# A session leaves the stream once the watermark, one hour behind the newest event, has passed its end plus the gap.
+# A session is written once the newest event is an hour past its end plus the gap.
 query(
     "stream_sessions",
     f"""SELECT {_SESSION_COLUMNS} FROM sess

@@ -88,6 +88,11 @@ def rapid_fire(
     """Every clear that brings its user to ``threshold`` or more clears within the trailing window."""
     narrow = _clears(df).select("user_key", "session_id", *ARRIVAL)
     counted = with_trailing_count(narrow, ["user_key"], "recent", window_ms, slice_ms=slice_ms)
+    return rapid_fire_alerts(counted, threshold)
+
+
+def rapid_fire_alerts(counted: DataFrame, threshold: int = RAPID_COUNT) -> DataFrame:
+    """The alerts of clears with their count ``recent`` in the trailing window."""
     text = F.format_string(f"%d stage clears in 1 minute (threshold: {threshold})", F.col("recent"))
     return (
         counted.filter(F.col("recent") >= threshold)

@@ -55,7 +55,7 @@ def write_fact_alerts(df: DataFrame, path: str, mode: str = "append", partitions
 def read_fact(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Scan a fact table of the given schema; ``month`` is text and prunes partitions."""
     stored = T.StructType([*schema.fields, T.StructField("month", T.StringType())])
-    return spark.read.schema(stored).parquet(path)
+    return spark.read.schema(stored).parquet(path).select(*stored.names)
 
 
 def in_months(df: DataFrame, time_col: str, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from playtide.operators import ingest
 from playtide.operators.alerts import RAPID_COUNT, RAPID_WINDOW_MS
 from playtide.operators.sessions import GAP_MS
-from playtide.schema import ALERT_SCHEMA, EVENT_SCHEMA, SESSION_SCHEMA, names
+from playtide.schema import EVENT_SCHEMA, names
 from playtide.sources.tables import JDBC_BATCH_ROWS, month_of
-from playtide.streaming.rules import alerts_stream, dedup_stream, sessions_stream, with_event_time
+from playtide.streaming.carried import DELAY_MS, Rule, alerts_rule, carried, sessions_rule
+from playtide.streaming.rules import dedup_stream
 
 # How often the sinks write.
 SINK_INTERVAL = "5 seconds"
@@ -53,16 +54,24 @@ def start_jdbc_sink(df: DataFrame, table: str, checkpoint: str, available_now: b
     return _triggered(df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now).start()
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    """A micro-batch's frame, worked out once: each micro-batch overwrites the last one's."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def start_routed_sink(
     parsed: DataFrame, accepted_path: str, dead_path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Write accepted records and dead letters of one stream to two tables.
 
-    A micro-batch owns one folder in each table and overwrites it when it is repeated, so nothing is written twice.
+    A micro-batch owns one folder in each table and overwrites it when it is repeated, so nothing is written twice. How many records
+    it accepted and refused goes to a third table beside the dead letters, ``{dead_path}-counts``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        accepted, dead, _ = ingest.route_dlq(batch)
+        accepted, dead, counts = ingest.route_dlq(_stored(batch, f"{checkpoint}-parsed"))
+        counts.write.mode("overwrite").parquet(f"{dead_path}-counts/batch_id={batch_id}")
         accepted.write.mode("overwrite").parquet(f"{accepted_path}/batch_id={batch_id}")
         dead.write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
 
@@ -76,7 +85,7 @@ def start_ingest(
     """Requests as JSON text (column ``value``) to event records; refused requests keep their text and errors."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        checked = ingest.validate_batches(ingest.parse_batches(batch.select("value")))
+        checked = _stored(ingest.validate_batches(ingest.parse_batches(batch.select("value"))), f"{checkpoint}-checked")
         records = ingest.flatten_payload(ingest.enrich(ingest.explode_batches(checked), server_time))
         records.write.mode("overwrite").parquet(f"{records_path}/batch_id={batch_id}")
         refused = checked.filter(F.size("errors") > 0).select(
@@ -116,6 +125,9 @@ class JobPaths:
     def table(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
+    def work(self, name: str) -> str:
+        return f"{self.root}/work/{name}"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
@@ -126,24 +138,38 @@ def start_cleaning(events: DataFrame, paths: JobPaths, available_now: bool = Fal
     return start_fact_sink(clean, paths.table("events"), paths.checkpoint("events"), "timestamp", available_now)
 
 
+def start_carried(
+    stream: DataFrame, rule: Rule, path: str, work: str, checkpoint: str, time_col: str | None = None, available_now: bool = False
+) -> StreamingQuery:
+    """Run a rule with carried state into a table; ``time_col`` partitions it by month, and stamps the time of writing."""
+    def write(df: DataFrame, folder: str) -> None:
+        stamped = df.select("*", F.current_timestamp().alias("created_at"), month_of(time_col).alias("month"))
+        stamped.write.mode("overwrite").partitionBy("month").parquet(folder)
+
+    writer = carried(stream, rule, path, work, write if time_col else None)
+    return _triggered(writer.option("checkpointLocation", checkpoint), available_now).start()
+
+
+def _follow(spark: SparkSession, paths: JobPaths, rule: Rule, name: str, time_col: str, available_now: bool) -> StreamingQuery:
+    events = read_fact_stream(spark, paths.table("events"), EVENT_SCHEMA)
+    return start_carried(
+        events, rule, paths.table(name), paths.work(name), paths.checkpoint(name), time_col, available_now)
+
+
 def start_sessions(
-    spark: SparkSession, paths: JobPaths, gap_ms: int = GAP_MS, delay: str = "1 hour", available_now: bool = False
+    spark: SparkSession, paths: JobPaths, gap_ms: int = GAP_MS, delay_ms: int = DELAY_MS, available_now: bool = False
 ) -> StreamingQuery:
-    """Sessions of the cleaned events, appended to the table ``sessions``."""
-    events = with_event_time(read_fact_stream(spark, paths.table("events"), EVENT_SCHEMA), delay)
-    sessions = sessions_stream(events, gap_ms).select(*names(SESSION_SCHEMA), F.current_timestamp().alias("created_at"))
-    return start_fact_sink(sessions, paths.table("sessions"), paths.checkpoint("sessions"), "session_start", available_now)
+    """Sessions of the cleaned events, in the table ``sessions``."""
+    return _follow(spark, paths, sessions_rule(gap_ms, delay_ms), "sessions", "session_start", available_now)
 
 
 def start_alerts(
     spark: SparkSession, paths: JobPaths, window_ms: int = RAPID_WINDOW_MS, threshold: int = RAPID_COUNT,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Alerts of the cleaned events, appended to the table ``alerts``."""
-    events = read_fact_stream(spark, paths.table("events"), EVENT_SCHEMA)
-    alerts = alerts_stream(events, window_ms=window_ms, threshold=threshold)
-    stamped = alerts.select(*names(ALERT_SCHEMA), F.current_timestamp().alias("created_at"))
-    return start_fact_sink(stamped, paths.table("alerts"), paths.checkpoint("alerts"), "detected_at", available_now)
+    """Alerts of the cleaned events, in the table ``alerts``."""
+    rule = alerts_rule(window_ms=window_ms, threshold=threshold)
+    return _follow(spark, paths, rule, "alerts", "detected_at", available_now)
 
 
 def run_available(

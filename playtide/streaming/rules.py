@@ -1,209 +1,24 @@
-"""Event rules on streams.
-
-Per-user state is keyed by user, because the rules follow a user's order of events; what is kept per user is small.
-The topic is keyed by user, so a user's events reach the state in arrival order.
-"""
+"""Rules that Spark's own streaming operators express; those that carry more state are in ``carried``."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from playtide.functions import event_ts, late
+from playtide.functions import late
 from playtide.functions.expressions import LATE_MS
-from playtide.operators.alerts import MIN_CLEAR_MS, RAPID_COUNT, RAPID_FIRE, RAPID_WINDOW_MS, row_alerts
-from playtide.operators.dedup import TTL_MS
-from playtide.operators.ordered import ARRIVAL
-from playtide.operators.sessions import GAP_MS, UNKNOWN
-from playtide.plans.game import MODES
-from playtide.schema import ALERT_SCHEMA, SESSION_SCHEMA, names
 
-#: How far the watermark trails the newest event. Later events are dropped by stateful rules, so it must be at least as
-#: long as a topic may lag.
-DELAY = "1 hour"
-#: A key without events for this long loses its state.
-STATE_TTL_MS = 7 * 86_400_000
 
-
-def with_event_time(df: DataFrame, delay: str = DELAY, name: str = "ts") -> DataFrame:
-    """Add the receive time as a timestamp and let the watermark trail it by ``delay``."""
-    return df.withColumn(name, event_ts()).withWatermark(name, delay)
+def with_arrival(df: DataFrame, delay: str, name: str = "arrived_at") -> DataFrame:
+    """Add the time a row reached the stream, with the watermark on it: that clock only grows, so no row is ever late."""
+    return df.withColumn(name, F.current_timestamp()).withWatermark(name, delay)
 
 
 def dedup_stream(df: DataFrame, ttl: str = "1 hour", key: str = "event_id") -> DataFrame:
-    """Drop copies of an id that arrive within ``ttl`` of the first one."""
-    return with_event_time(df, ttl).dropDuplicatesWithinWatermark([key])
-
-
-def _in_arrival_order(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for chunk in rows:
-        yield chunk.sort_values(list(ARRIVAL), kind="stable") if len(chunk) > 1 else chunk
-
-
-def _keyed(df: DataFrame, key: str, step, output: T.StructType, state: str, ttl_ms: int, delay: str) -> DataFrame:
-    """Run ``step(rows, state) -> (frame, new state)`` per key.
-
-    Spark sends the rows and states of many keys to Python in one Arrow batch. A key is forgotten once the watermark is
-    ``ttl_ms`` past its last event.
-    """
-    columns = [f.name for f in output.fields]
-
-    def run(key_value, rows: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
-        if group.hasTimedOut:
-            group.remove()
-            return
-        held = group.get if group.exists else None
-        last_ms = 0
-        for chunk in _in_arrival_order(rows):
-            last_ms = max(last_ms, int(chunk["timestamp"].iloc[-1]))
-            out, held = step(chunk, held)
-            if len(out):
-                yield out[columns]
-        group.update(held)
-        group.setTimeoutTimestamp(last_ms + ttl_ms)
-
-    timed = with_event_time(df, delay, "_ts")
-    return timed.groupBy(key).applyInPandasWithState(run, output, state, "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def dedup_ttl_stream(
-    df: DataFrame, ttl_ms: int = TTL_MS, key: str = "event_id", state_ttl_ms: int = STATE_TTL_MS, delay: str = DELAY
-) -> DataFrame:
-    """Drop copies within ``ttl_ms`` of the id's last pass; later copies pass again, whatever the watermark does.
-
-    :func:`dedup_stream` stays in the JVM and is the one for large streams; this one is for feeds where an id may
-    rightly come again.
-    """
-
-    def step(chunk: pd.DataFrame, held):
-        last, passed = (held[0] if held else None), []
-        for now in chunk["timestamp"].tolist():
-            passes = last is None or now - last >= ttl_ms
-            last = now if passes else last
-            passed.append(passes)
-        return (chunk if all(passed) else chunk[passed]), (last,)
-
-    # The row travels as one text column: most ids have a single row, and a narrow frame is cheap to build per id.
-    packed = df.select(key, *[c for c in ARRIVAL if c != key], F.to_json(F.struct(*df.columns)).alias("row"))
-    output = T.StructType([T.StructField("row", T.StringType())])
-    passed = _keyed(packed, key, step, output, "last_pass long", state_ttl_ms, delay)
-    return passed.select(F.inline(F.array(F.from_json("row", df.schema))))
-
-
-def rapid_fire_stream(
-    df: DataFrame, window_ms: int = RAPID_WINDOW_MS, threshold: int = RAPID_COUNT, state_ttl_ms: int = STATE_TTL_MS,
-    delay: str = DELAY,
-) -> DataFrame:
-    """Alerts for clears that bring a user to ``threshold`` clears within the trailing window.
-
-    The state is the user's clear times of the window; counts come from one binary search per chunk of rows.
-    """
-
-    def step(chunk: pd.DataFrame, held):
-        before = np.array(held[0] if held else [], dtype="int64")
-        times = np.concatenate([before, chunk["timestamp"].to_numpy("int64")])
-        begins = np.searchsorted(times, times - window_ms, side="left")
-        recent = (np.arange(1, len(times) + 1) - begins)[len(before):]
-        kept = times[times >= times[-1] - window_ms]
-        return chunk.assign(recent=recent)[recent >= threshold], (kept.tolist(),)
-
-    clears = df.filter(F.col("event_type") == "stage_clear").select("user_key", "session_id", *ARRIVAL)
-    output = T.StructType.fromDDL("user_key string, session_id string, event_id string, timestamp long, recent long")
-    hits = _keyed(clears, "user_key", step, output, "clears array<long>", state_ttl_ms, delay)
-    text = F.format_string(f"%d stage clears in 1 minute (threshold: {threshold})", F.col("recent"))
-    return hits.select(
-        "user_key", F.coalesce("session_id", F.lit("")).alias("session_id"), F.lit(RAPID_FIRE).alias("alert_type"),
-        text.alias("description"), F.col("timestamp").alias("detected_at"), "event_id", F.lit("").alias("stage_id"),
-        F.lit(0).cast("bigint").alias("score"), F.lit(0).cast("bigint").alias("clear_time_ms"),
-        F.col("recent").alias("event_count"),
-    ).select(*names(ALERT_SCHEMA))
-
-
-def user_quality_stream(df: DataFrame, state_ttl_ms: int = STATE_TTL_MS, delay: str = DELAY) -> DataFrame:
-    """Per event: its number within the user, the time since the user's previous event, and skipped sequence numbers.
-
-    ``gap_ms`` is null for a user's first event and ``missing`` where nothing was skipped.
-    """
-
-    def step(chunk: pd.DataFrame, held):
-        events, last_ms, session, seq = held or (0, None, None, None)
-        out = chunk.assign(event_no=range(events + 1, events + len(chunk) + 1))
-        out["gap_ms"] = chunk["timestamp"].astype("Int64").diff()
-        if last_ms is not None:
-            out.loc[out.index[0], "gap_ms"] = chunk["timestamp"].iloc[0] - last_ms
-        numbered = chunk[chunk["seq"] > 0]
-        expected = numbered["seq"].astype("Int64").shift(1) + 1
-        same_session = numbered["session_id"].shift(1) == numbered["session_id"]
-        if len(numbered):
-            if seq is not None:
-                expected.iloc[0] = seq + 1
-                same_session.iloc[0] = session == numbered["session_id"].iloc[0]
-            session, seq = numbered["session_id"].iloc[-1], int(numbered["seq"].iloc[-1])
-        skips = same_session & (numbered["seq"] > expected).fillna(False)
-        out["expected_seq"] = expected[skips]
-        out["missing"] = (numbered["seq"] - expected)[skips]
-        return out, (events + len(chunk), int(chunk["timestamp"].iloc[-1]), session, seq)
-
-    output = T.StructType.fromDDL(
-        "user_key string, event_id string, timestamp long, event_no long, gap_ms long, expected_seq long, seq long, missing long"
-    )
-    state = "events long, last_ms long, session_id string, seq long"
-    return _keyed(df.select("user_key", "session_id", *ARRIVAL), "user_key", step, output, state, state_ttl_ms, delay)
-
-
-def alerts_stream(
-    df: DataFrame, min_clear_ms: int = MIN_CLEAR_MS, window_ms: int = RAPID_WINDOW_MS, threshold: int = RAPID_COUNT,
-    delay: str = DELAY,
-) -> DataFrame:
-    """All alerts of a cleaned event stream."""
-    return row_alerts(df, min_clear_ms).unionByName(rapid_fire_stream(df, window_ms, threshold, delay=delay))
+    """Drop copies of an id that arrive within ``ttl`` of the first one, by the clock of arrival."""
+    return with_arrival(df, ttl).dropDuplicatesWithinWatermark([key]).drop("arrived_at")
 
 
 def observe_quality(df: DataFrame, name: str = "quality", threshold_ms: int = LATE_MS) -> DataFrame:
     """Report events and late events of each micro-batch as observed metrics; rows pass unchanged."""
     return df.observe(name, F.count(F.lit(1)).alias("total"), F.count_if(late(threshold_ms)).alias("late"))
-
-
-def sessions_stream(df: DataFrame, gap_ms: int = GAP_MS, time_col: str = "ts", modes: tuple[str, ...] = MODES) -> DataFrame:
-    """Session summaries, emitted once the watermark has passed a session's end.
-
-    ``df`` carries a watermark on ``time_col``. The primary mode is chosen among ``modes``.
-    """
-    clear = F.col("event_type") == "stage_clear"
-    timed = F.when(clear & (F.col("clear_time_ms") > 0), F.col("clear_time_ms"))
-    opener = F.min(F.when(F.col("session_id").isNotNull(), F.struct("timestamp", "session_id")))
-    stages = F.collect_set(F.when(F.col("stage_id") != "", F.col("stage_id")))
-    played = [F.count_if(F.col("mode") == mode).alias(f"_mode_{mode}") for mode in modes]
-    favourite = F.array_max(
-        F.array(*[F.when(F.col(f"_mode_{m}") > 0, F.struct(F.col(f"_mode_{m}").alias("n"), F.lit(m).alias("mode"))) for m in modes])
-    )
-    window = F.session_window(time_col, f"{gap_ms} milliseconds")
-    return (
-        df.groupBy("user_key", window)
-        .agg(
-            opener.alias("_opener"),
-            F.min("timestamp").alias("session_start"), F.max("timestamp").alias("session_end"),
-            F.count(F.lit(1)).alias("total_events"),
-            F.count_if(clear).alias("stage_clears"),
-            F.count_if(F.col("event_type") == "stage_fail").alias("stage_fails"),
-            F.sum(F.when(clear, F.col("score")).otherwise(0).cast("bigint")).alias("total_score"),
-            stages.alias("_stages"), F.avg(timed).alias("_avg"),
-            F.sum(F.when(clear, F.col("universal_used")).otherwise(0).cast("bigint")).alias("universal_used"),
-            F.count_if(F.col("event_type") == "navigation").alias("navigations"),
-            *played,
-        )
-        .withColumns({
-            "session_id": F.coalesce("_opener.session_id", F.lit(UNKNOWN)),
-            "duration_ms": F.col("session_end") - F.col("session_start"),
-            "primary_mode": F.coalesce(favourite["mode"], F.lit(UNKNOWN)),
-            "distinct_stages": F.size("_stages").cast("bigint"),
-            "avg_clear_time_ms": F.coalesce("_avg", F.lit(0.0)),
-        })
-        .select(*names(SESSION_SCHEMA))
-    )

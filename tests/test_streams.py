@@ -5,10 +5,10 @@ import json
 from frames import events, rows
 from pyspark.sql import functions as F
 
-from playtide.operators import alerts, quality, sessions
+from playtide.operators import alerts, dedup, quality, sessions
 from playtide.schema import ALERT_FACT_SCHEMA, EVENT_SCHEMA, SESSION_FACT_SCHEMA, names
 from playtide.sources import tables
-from playtide.streaming import jobs, rules, sources
+from playtide.streaming import carried, jobs, rules, sources
 
 # Streams drop rows at or before the watermark, which starts at time 0.
 START_MS = 1_704_067_200_000
@@ -23,10 +23,9 @@ def _files(spark, path, batches):
     )
 
 
-def _run(stream, path):
-    writer = stream.writeStream.format("parquet").options(path=f"{path}/out", checkpointLocation=f"{path}/cp")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/out")
+def _carried(stream, rule, path):
+    jobs.start_carried(stream, rule, f"{path}/out", f"{path}/work", f"{path}/cp", available_now=True).awaitTermination()
+    return stream.sparkSession.read.parquet(f"{path}/out")
 
 
 def _batches():
@@ -50,11 +49,11 @@ def test_rapid_fire_and_quality_across_batches(spark, tmp_path):
     batches = _batches()
     everything = events(spark, [row for batch in batches for row in batch])
     stream = _files(spark, str(tmp_path / "in"), batches)
-    found = _run(rules.rapid_fire_stream(stream), str(tmp_path / "rapid"))
+    found = _carried(stream, carried.rapid_fire_rule(), str(tmp_path / "rapid"))
     columns = ("event_id", "event_count", "description")
     assert rows(found, *columns) == rows(alerts.rapid_fire(everything), *columns) and found.count() > 0
 
-    seen = _run(rules.user_quality_stream(stream), str(tmp_path / "quality"))
+    seen = _carried(stream, carried.user_quality_rule(), str(tmp_path / "quality"))
     assert rows(seen, "event_id", "event_no") == rows(quality.with_event_no(everything), "event_id", "event_no")
     gaps = rows(quality.seq_gaps(everything), "event_id", "missing")
     assert rows(seen.filter("missing IS NOT NULL"), "event_id", "missing") == gaps and gaps
@@ -64,7 +63,7 @@ def test_dedup_ttl_across_batches(spark, tmp_path):
     seconds = [0, 1800, 3600, 5000, 7300]
     batches = [[{"event_id": "x", "timestamp": START_MS + s * 1000}, {"event_id": f"y{s}", "timestamp": START_MS + s * 1000}] for s in seconds]
     stream = _files(spark, str(tmp_path / "in"), batches)
-    got = _run(rules.dedup_ttl_stream(stream), str(tmp_path / "run"))
+    got = _carried(stream, carried.dedup_rule(EVENT_SCHEMA), str(tmp_path / "run"))
     assert rows(got.filter("event_id = 'x'"), "timestamp") == [(START_MS + s * 1000,) for s in (0, 3600, 7300)]
     assert got.count() == 8
 
@@ -139,3 +138,48 @@ def test_fact_table_layout(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and "PushedFilters: [IsNotNull(timestamp)" in plan
     kept = tables.apply_retention(stored, F.timestamp_millis(F.lit(1_706_745_600_000 + 182 * 86_400_000)))
     assert kept.agg(F.min("timestamp")).first()[0] >= 1_706_745_600_000
+
+
+def test_hot_user_in_shuffled_files_equals_batch(spark, tmp_path):
+    """One user owns a third of 50,000 rows; rows are shuffled within each of three micro-batches."""
+    import random
+
+    rng, batches = random.Random(4), []
+    for part in range(3):
+        rows_ = [{
+            "event_id": f"e{part}-{i}", "user_key": "hot" if i % 3 == 0 else f"u{rng.randrange(300)}",
+            "timestamp": START_MS + part * 40_000_000 + rng.randrange(39_000_000), "seq": rng.randrange(5), "session_id": f"s{rng.randrange(3)}",
+            "event_type": "stage_clear" if rng.random() < 0.8 else "navigation",
+        } for i in range(16_700)]
+        rows_ += [{**r, "timestamp": r["timestamp"] + 1_000} for r in rows_[:300]]
+        rng.shuffle(rows_)
+        batches.append(rows_)
+    everything = events(spark, [r for b in batches for r in b]).cache()
+    stream = _files(spark, str(tmp_path / "in"), batches)
+    got = _carried(stream, carried.dedup_rule(EVENT_SCHEMA), str(tmp_path / "dedup"))
+    assert rows(got, "event_id", "timestamp") == rows(dedup.dedup(everything), "event_id", "timestamp")
+    found = _carried(stream, carried.rapid_fire_rule(60_000, 10), str(tmp_path / "rapid"))
+    batch = alerts.rapid_fire(everything, 60_000, 10)
+    assert rows(found, "event_id", "detected_at", "event_count") == rows(batch, "event_id", "detected_at", "event_count") and batch.count() > 1000
+    unique = [[r for r in b if not r["event_id"] in seen and not seen.add(r["event_id"])] for b in batches for seen in [set()]]
+    everything = events(spark, [r for b in unique for r in b]).cache()
+    stream = _files(spark, str(tmp_path / "unique"), unique)
+    seen = _carried(stream, carried.user_quality_rule(), str(tmp_path / "quality"))
+    assert rows(seen, "event_id", "event_no") == rows(quality.with_event_no(everything), "event_id", "event_no")
+    gaps = rows(quality.seq_gaps(everything), "event_id", "missing")
+    assert rows(seen.filter("missing IS NOT NULL"), "event_id", "missing") == gaps and gaps
+
+
+def test_late_rows_arrive_everywhere(spark, tmp_path):
+    """Rows nine hours older than the newest reach events, alerts and sessions; a third mode is the primary one."""
+    hour = 3_600_000
+    base = {"event_type": "stage_clear", "clear_time_ms": 100, "mode": "puzzle"}
+    batches = [
+        [{"event_id": f"{b}{i}", "user_key": "u", "timestamp": START_MS + (20 - 9 * b) * hour + i * 1000, **base} for i in range(2)] for b in range(3)]
+    batches.append([{"event_id": "end", "user_key": "z", "timestamp": START_MS + 40 * hour, "event_type": "heartbeat"}])
+    paths = jobs.run_available(_files(spark, str(tmp_path / "in"), batches), str(tmp_path / "job"))
+    assert tables.read_fact(spark, paths.table("events"), EVENT_SCHEMA).count() == 7
+    assert tables.read_fact(spark, paths.table("alerts"), ALERT_FACT_SCHEMA).count() == 6
+    stored = tables.read_fact(spark, paths.table("sessions"), SESSION_FACT_SCHEMA)
+    assert sorted((r.session_start, r.total_events, r.primary_mode) for r in stored.collect()) == sorted(
+        (START_MS + (20 - 9 * b) * hour, 2, "puzzle") for b in range(3))
