@@ -72,12 +72,21 @@ def _ingested_records(t):
 
 query(
     "score_submission_errors",
-    "SELECT entry_id, '' AS errors FROM lb",
-)(lambda t: ingest.validate_scores(t.leaderboard).select("entry_id", F.array_join("errors", ",").alias("errors")))
+    """SELECT entry_id, concat_ws(',', CASE WHEN stages_cleared % 5 = 0 THEN 'mode' END, CASE WHEN stages_cleared % 3 = 0 THEN 'score' END)
+AS errors FROM lb""",
+)(
+    lambda t: ingest.validate_scores(t.leaderboard.withColumns({
+        "mode": F.when(F.col("stages_cleared") % 5 != 0, F.col("mode")),
+        "score": F.when(F.col("stages_cleared") % 3 == 0, -F.col("score") - 1).otherwise(F.col("score")),
+    })).select("entry_id", F.array_join("errors", ",").alias("errors"))
+)
 query(
     "user_record_errors",
-    "SELECT user_key, CASE WHEN length(nickname) > 30 THEN 'nickname' ELSE '' END AS errors FROM usr",
-)(lambda t: ingest.validate_users(t.users).select("user_key", F.array_join("errors", ",").alias("errors")))
+    "SELECT user_key, CASE WHEN length(nickname) * 2 > 30 THEN 'nickname' ELSE '' END AS errors FROM usr",
+)(
+    lambda t: ingest.validate_users(t.users.withColumn("nickname", F.repeat("nickname", F.lit(2)))).select(
+        "user_key", F.array_join("errors", ",").alias("errors"))
+)
 
 # Messages
 

@@ -22,14 +22,30 @@ CURRENT_SCHEMA_VERSION = "2"
 _KINDS = {f.name: f.dataType for f in EVENT_SCHEMA.fields} | dict(INGEST_COLUMNS)
 
 
+def _whole(value: Column) -> Column:
+    """A variant that stands for a whole number (12, 12.0 or "12") as bigint, else null."""
+    number = F.try_variant_get(value, "$", "string").try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
+
+
 def parse_batches(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the request's ``user_key``, ``app_version`` and ``events``; null where the text does not fit.
 
-    ``inline`` parses each text once. As a plain expression the parser would be repeated in every limit that is checked
-    and in the filter that is pushed below the projection.
+    Event fields are read as variants, so that a missing one, a null and a wrong type can be told apart: whole numbers may come as
+    text or as 1.0; ``wrong`` of an event lists a payload that is no object and versions that are null. ``inline`` parses each
+    text once; as a plain expression the parser would be repeated in every limit that is checked.
     """
     request = F.from_json(value, BATCH_SCHEMA, {"mode": "PERMISSIVE"})
-    return df.select(*df.columns, F.inline(F.array(request)))
+    event = lambda e: F.struct(
+        e["event_type"].alias("event_type"), e["session_id"].alias("session_id"), _whole(e["client_timestamp"]).alias("client_timestamp"),
+        *(F.try_variant_get(e[name], "$", "string").alias(name) for name in ("app_version", "schema_version")),
+        F.to_json(e["payload"]).alias("payload"),
+        _broken({
+            "payload": e["payload"].isNotNull() & ~F.schema_of_variant(e["payload"]).startswith("OBJECT"),
+            "version": F.is_variant_null(e["app_version"]) | F.is_variant_null(e["schema_version"]),
+        }).alias("wrong"))
+    parsed = df.select(*df.columns, F.inline(F.array(request)))
+    return parsed.withColumn("events", F.transform("events", event))
 
 
 def _broken(checks: dict[str, Column]) -> Column:
@@ -48,15 +64,18 @@ def validate_batches(df: DataFrame) -> DataFrame:
         "app_version": F.length("app_version") > MAX_APP_VERSION,
         "events": events.isNull() | ~F.size(events).between(1, MAX_BATCH_EVENTS),
         "event": incomplete,
+        "payload": F.exists(events, lambda e: F.array_contains(e["wrong"], "payload")),
+        "version": F.exists(events, lambda e: F.array_contains(e["wrong"], "version")),
         "event_app_version": F.exists(events, lambda e: F.length(e["app_version"]) > MAX_APP_VERSION),
         "event_schema_version": F.exists(events, lambda e: F.length(e["schema_version"]) > MAX_SCHEMA_VERSION),
     }))
 
 
 def validate_scores(df: DataFrame) -> DataFrame:
-    """Add ``errors`` to submitted scores: an over-long user key or a negative count."""
+    """Add ``errors`` to submitted scores: an over-long user key, no mode or a negative count."""
     return df.withColumn("errors", _broken({
         "user_key": F.col("user_key").isNull() | (F.length("user_key") > MAX_USER_KEY),
+        "mode": F.col("mode").isNull(),
         "score": F.col("score").isNull() | (F.col("score") < 0),
         "stages_cleared": F.col("stages_cleared") < 0,
         "universal_used": F.col("universal_used") < 0,
@@ -98,30 +117,37 @@ def enrich(df: DataFrame, server_time: Column | None = None, event_id: Column |
 def flatten_payload(df: DataFrame) -> DataFrame:
     """Lift the known payload fields into columns and keep the rest as JSON in ``extra``.
 
-    The version is compared as text: from "2" on the payload is flattened, before it stays whole in ``payload``.
-    The platform may sit inside ``device_info``, which stays in ``extra`` as well.
+    The version is compared as text: from "2" on the payload is flattened, before it stays whole in ``payload``. A column that has two
+    names takes the plain one first (``from_screen`` before ``from``); the platform may sit inside ``device_info``, which stays in
+    ``extra`` as well and gives way to a plain platform. A value that does not fit its column, such as a score of 12.7, stays in ``extra``.
     """
     flat = F.col("schema_version") >= F.lit(CURRENT_SCHEMA_VERSION)
     sources = {field: [field] for field in STRUCTURED_FIELDS}
     for payload_name, column in RENAMED_FIELDS.items():
         sources[column].append(payload_name)
-    known = [name for listed in sources.values() for name in listed]
-    wanted = T.StructType([T.StructField(name, T.StringType()) for name in [*known, "device_info"]])
+    kinds = {name: _KINDS[field] for field, listed in sources.items() for name in listed}
+
+    def fitted(value: Column, kind: T.DataType) -> Column:
+        return F.try_variant_get(value, "$", "string") if isinstance(kind, T.StringType) else _whole(value).try_cast(kind)
 
     def lifted(field: str) -> Column:
-        found = [F.col(f"_{name}") for name in sources[field]]
+        found = [fitted(F.col("_values")[name], _KINDS[field]) for name in sources[field]]
         if field == "platform":
-            found.append(F.get_json_object("_device_info", "$.platform"))
-        return F.when(flat, F.coalesce(*found).try_cast(_KINDS[field]))
-
-    values = F.from_json("payload", "map<string,variant>")
-    rest = F.to_json(F.map_filter(values, lambda name, _: ~name.isin(known)))
-    # ``inline`` parses each payload once for all the lifted fields.
+            found.append(F.try_variant_get(F.col("_values")["device_info"], "$.platform", "string"))
+        return F.when(flat, F.coalesce(*found))
+
+    texts = [n for n, kind in kinds.items() if isinstance(kind, T.StringType)]
+    numbers = [n for n, kind in kinds.items() if not isinstance(kind, T.StringType)]
+    taken = lambda name, value: F.is_variant_null(value) | F.when(
+        name.isin(texts), F.try_variant_get(value, "$", "string").isNotNull()
+    ).when(name.isin(numbers), _whole(value).try_cast("int").isNotNull()).otherwise(False)
+    rest = F.to_json(F.map_filter("_values", lambda name, value: ~(name.isin(list(kinds)) & taken(name, value))))
+    # ``inline`` parses each payload once; fields and rest come from the same map.
     return (
-        df.select("*", F.inline(F.array(F.from_json("payload", wanted))).alias(*[f"_{f.name}" for f in wanted.fields]))
+        df.select("*", F.inline(F.array(F.struct(F.from_json("payload", "map<string,variant>").alias("_values")))))
         .withColumns({**{field: lifted(field) for field in STRUCTURED_FIELDS}, "_rest": F.when(flat, rest)})
         .withColumns({"extra": F.when(F.col("_rest") != "{}", F.col("_rest")), "payload": F.when(~flat, F.col("payload"))})
-        .drop("_rest", *[f"_{f.name}" for f in wanted.fields])
+        .drop("_rest", "_values")
     )
 
 
@@ -138,18 +164,24 @@ def to_message(df: DataFrame, key: str = "user_key") -> DataFrame:
 def parse_events(df: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to the typed event columns plus ``error``.
 
-    Unknown fields are ignored; numbers that are absent read 0. ``error`` is null, ``json`` for text that does not parse
-    or ``field`` where an id, type or user is missing. The text stays in ``raw`` for the dead-letter route.
+    Unknown fields are ignored; numbers that are absent, null or empty text read 0, numbers may come as text, and fractions are
+    cut off. ``error`` is null, ``json`` for text that does not parse or holds a number field that is none, or ``field`` where an id,
+    type or user is missing. The text stays in ``raw`` for the dead-letter route.
     """
     corrupt = "_corrupt"
-    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(corrupt, T.StringType())])
+    numbers = {f.name: f.dataType for f in EVENT_SCHEMA.fields if f.dataType in (T.IntegerType(), T.LongType())}
+    loose = [T.StructField(f.name, T.StringType()) for f in EVENT_SCHEMA.fields]
+    schema = T.StructType([*loose, T.StructField(corrupt, T.StringType())])
     event = F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
     # ``inline`` parses each text once, however many columns and conditions look at the result.
     parsed = df.select(F.col(value).alias("raw"), F.inline(F.array(event)))
     unset = F.col("event_id").isNull() | F.col("event_type").isNull() | F.col("user_key").isNull()
-    error = F.when(F.col("raw").isNull() | F.col(corrupt).isNotNull(), F.lit("json")).when(unset, F.lit("field"))
-    numbers = [f.name for f in EVENT_SCHEMA.fields if f.dataType in (T.IntegerType(), T.LongType())]
-    return parsed.withColumn("error", error).select(*names(EVENT_SCHEMA), "error", "raw").na.fill(0, subset=numbers)
+    given = {name: F.coalesce(F.nullif(name, F.lit("")), F.lit("0")) for name in numbers}
+    cut = {name: given[name].try_cast("decimal(38,10)").try_cast("bigint").try_cast(kind) for name, kind in numbers.items()}
+    strange = F.exists(F.array(*(c.cast("bigint") for c in cut.values())), lambda x: x.isNull())
+    error = F.when(F.col("raw").isNull() | F.col(corrupt).isNotNull() | strange, F.lit("json")).when(unset, F.lit("field"))
+    return parsed.withColumn("error", error).withColumns({n: F.coalesce(c, F.lit(0)) for n, c in cut.items()}).select(
+        *names(EVENT_SCHEMA), "error", "raw")
 
 
 def only_version(df: DataFrame, version: str = CURRENT_SCHEMA_VERSION) -> DataFrame:

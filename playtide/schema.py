@@ -34,10 +34,10 @@ RENAMED_FIELDS = {"from": "from_screen", "to": "to_screen"}
 #: Columns an accepted record may carry on top of :data:`EVENT_SCHEMA`.
 INGEST_COLUMNS = (("cost", _I), ("remaining", _I), ("extra", _S), ("payload", _S))
 
-#: One HTTP request: a user and its buffered events. ``payload`` stays JSON text.
+#: One HTTP request: a user and its buffered events. Variants keep what the client sent, so its type can be checked.
 BATCH_EVENT_SCHEMA = _struct(
-    ("event_type", _S), ("session_id", _S), ("client_timestamp", _L),
-    ("app_version", _S), ("schema_version", _S), ("payload", _S),
+    ("event_type", _S), ("session_id", _S), ("client_timestamp", T.VariantType()),
+    ("app_version", T.VariantType()), ("schema_version", T.VariantType()), ("payload", T.VariantType()),
 )
 BATCH_SCHEMA = _struct(
     ("user_key", _S), ("app_version", _S), ("events", T.ArrayType(BATCH_EVENT_SCHEMA)),

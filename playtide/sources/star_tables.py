@@ -165,11 +165,11 @@ def user_changes(events: DataFrame) -> DataFrame:
 def batch_requests(events: DataFrame) -> DataFrame:
     """Each event as an HTTP request with one to three events; some requests break a limit."""
     number = F.col("seq") + F.col("completion_pct")
-    payload = F.to_json(F.struct(
+    payload = F.struct(
         "seq", "mode", "stage_id", "score", "clear_time_ms",
         F.col("from_screen").alias("from"), F.col("to_screen").alias("to"),
         F.struct(F.col("platform"), F.lit(360).alias("width")).alias("device_info"), F.col("taps").alias("elapsed_ms"),
-    ))
+    )
     event = F.struct(
         "event_type", "session_id", "client_timestamp",
         F.when(number % 11 == 10, F.repeat(F.lit("9"), F.lit(21))).otherwise(F.col("app_version")).alias("app_version"),

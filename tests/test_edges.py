@@ -1,5 +1,7 @@
 """Edge rows of the stateful rules, written by hand."""
 
+import json
+
 import pytest
 from frames import events, rows
 from pyspark.sql import functions as F
@@ -162,8 +164,9 @@ def test_leaderboard(spark):
 ])
 def test_version_route(spark, version, flat, kept):
     payload = '{"from": "a", "score": 7, "device_info": {"platform": "ios", "w": [1, 2.5]}, "note": null, "elapsed_ms": 3}'
-    body = {"event_type": "x", "session_id": "s", "client_timestamp": 1, "schema_version": version}
-    import json
+    body = {"event_type": "x", "session_id": "s", "client_timestamp": 1}
+    if version is not None:  # a null is refused, a missing version counts as the first one
+        body["schema_version"] = version
 
     text = json.dumps({"user_key": "u", "events": [{**body, "payload": json.loads(payload)}]})
     got = ingest.ingest_records(spark.createDataFrame([(text,)], "value string"))
@@ -176,7 +179,6 @@ def test_version_route(spark, version, flat, kept):
 
 
 def test_request_limits(spark):
-    import json
 
     event = {"event_type": "x", "session_id": "s", "client_timestamp": 1}
     cases = [
@@ -220,3 +222,49 @@ def test_upsert_users(spark):
     got = serving.upsert_users(old, delta).selectExpr("user_key", "nickname", "CAST(created_at AS date) c", "CAST(last_seen_at AS date) l")
     assert [tuple(map(str, r)) for r in got.orderBy("user_key").collect()] == [
         ("a", "old", "2024-01-01", "2024-01-05"), ("b", "n1", "2024-01-02", "2024-01-03")]
+
+
+def test_requests_are_checked_by_type(spark):
+    """What the contract's types refuse and what they accept in another form."""
+    whole = {"event_type": "x", "session_id": "s", "client_timestamp": 5}
+    cases = [
+        ({}, []), ({"payload": 5}, ["payload"]), ({"payload": "txt"}, ["payload"]), ({"payload": [1]}, ["payload"]), ({"payload": None}, ["payload"]),
+        ({"payload": {}}, []), ({"schema_version": None}, ["version"]), ({"app_version": None}, ["version"]),
+        ({"client_timestamp": "77"}, []), ({"client_timestamp": 1.0}, []), ({"client_timestamp": 1.5}, ["event"]), ({"client_timestamp": "x"}, ["event"]),
+    ]
+    df = spark.createDataFrame(
+        [(i, json.dumps({"user_key": "u", "events": [{**whole, **c}]})) for i, (c, _) in enumerate(cases)], "i int, value string")
+    checked = ingest.validate_batches(ingest.parse_batches(df))
+    assert {r["i"]: r["errors"] for r in checked.collect()} == {i: e for i, (_, e) in enumerate(cases)}
+    times = {r["i"]: r["client_timestamp"] for r in ingest.explode_batches(checked, "i").collect()}
+    assert (times[8], times[9]) == (77, 1)
+
+
+def test_payload_values_are_never_lost(spark):
+    cases = [
+        {"score": 12, "x": 1}, {"score": 12.0}, {"score": "12"}, {"score": 12.7}, {"score": "many"}, {"score": None}, {"score": 10**12},
+        {"platform": "ios", "device_info": {"platform": "web"}}, {"device_info": {"platform": "web"}, "platform": "ios"},
+        {"from": "a", "from_screen": "b"}, {"device_info": {"platform": "web"}}, {"mode": {"a": 1}},
+    ]
+    df = spark.createDataFrame([(i, "2", json.dumps(c)) for i, c in enumerate(cases)], "i int, schema_version string, payload string")
+    got = {r["i"]: r for r in ingest.flatten_payload(df).collect()}
+    assert [got[i]["score"] for i in range(7)] == [12, 12, 12, None, None, None, None]
+    extra = [json.loads(got[i]["extra"]) if got[i]["extra"] else None for i in range(len(cases))]
+    assert extra[:7] == [{"x": 1}, None, None, {"score": 12.7}, {"score": "many"}, None, {"score": 10**12}]
+    assert [got[i]["platform"] for i in (7, 8, 10)] == ["ios", "ios", "web"] and got[9]["from_screen"] == "b"
+    assert got[11]["mode"] == '{"a":1}'
+
+
+def test_numbers_of_messages(spark):
+    base = {"event_id": "a", "event_type": "x", "user_key": "u"}
+    values = ["12", 12.7, -3.9, "", None, "many", True, 1_704_067_200_123]
+    texts = [json.dumps({**base, "timestamp": v}) for v in values]
+    parsed = ingest.parse_events(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
+    assert [r["error"] for r in parsed] == [None, None, None, None, None, "json", "json", None]
+    assert [r["timestamp"] for r in parsed if r["error"] is None] == [12, 12, -3, 0, 0, 1_704_067_200_123]
+    assert ingest.parse_events(spark.createDataFrame([(json.dumps({**base, "score": 10**12}),)], "value string")).first()["error"] == "json"
+
+
+def test_scores_need_a_mode(spark):
+    df = spark.createDataFrame([("u", "time_attack", 1, 1, 0), ("u", None, -1, 1, 0)], "user_key string, mode string, score int, stages_cleared int, universal_used int")
+    assert [r["errors"] for r in ingest.validate_scores(df).collect()] == [[], ["mode", "score"]]
