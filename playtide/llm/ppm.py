@@ -19,6 +19,7 @@ seen in (update exclusion). Below order 0 all unseen symbols share the rest even
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.common import LOWER, fold, sliced, table, texts
+from playtide.llm.common import LOWER, fold, release_memory, table, texts
 from playtide.session import written
 
 #: Bytes of context. Each symbol takes 9 bits, so a gram of seven symbols still fits a long.
@@ -38,7 +39,11 @@ BITS, END = 9, 257
 #: What an unseen word adds to the base score, before its share of the total.
 HALF = math.log10(0.5)
 #: Text bytes of a block of documents, and of a step within it.
-BLOCK_BYTES, STEP_BYTES = 32 << 20, 2 << 20
+BLOCK_BYTES, STEP_BYTES = 32 << 20, 1 << 20
+#: Rows of a batch that a block sends.
+SENT = 100_000
+#: Rows taken out of a batch at a time.
+PACKED = 500
 BLOCK = "block long, ids array<long>, learn array<boolean>, ends array<long>, packed binary"
 
 
@@ -77,56 +82,96 @@ def _pack(batches):
         ], ["block", "ids", "learn", "ends", "packed"])
 
     for batch in batches:
-        for doc_id, learnt, text in zip(batch["doc_id"].to_pylist(), batch["learn"].to_pylist(), texts(batch["text"])):
-            if size and size + len(text) > BLOCK_BYTES:
-                yield packed()
-                ids, learn, docs, size, block = [], [], [], 0, block + 1
-            ids.append(doc_id)
-            learn.append(learnt)
-            docs.append(text.translate(LOWER))
-            size += len(text)
+        for i in range(0, len(batch), PACKED):
+            some = batch.slice(i, PACKED)
+            for doc_id, learnt, text in zip(some["doc_id"].to_pylist(), some["learn"].to_pylist(), texts(some["text"])):
+                if size and size + len(text) > BLOCK_BYTES:
+                    yield packed()
+                    ids, learn, docs, size, block = [], [], [], 0, block + 1
+                ids.append(doc_id)
+                learn.append(learnt)
+                docs.append(text.translate(LOWER))
+                size += len(text)
     if ids:
         yield packed()
+    del docs
+    release_memory()
 
 
-def _unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
-    flat, ends = zstandard.decompress(row["packed"]), row["ends"]
-    return [flat[a:b] for a, b in zip([0, *ends], ends)], np.array(row["learn"], bool)
+class _Block:
+    """A packed block's texts, cut out of the whole a step at a time."""
+
+    def __init__(self, row: dict):
+        self.flat, self.learn = zstandard.decompress(row["packed"]), np.array(row["learn"], bool)
+        self.ends = np.array(row["ends"], np.int64)
+        self.starts = np.concatenate([[0], self.ends[:-1]])
+        # Steps of about STEP_BYTES that end with a whole text.
+        step = self.starts // STEP_BYTES
+        borders = [0, *(np.nonzero(np.diff(step))[0] + 1).tolist(), len(self.ends)]
+        self.parts = [slice(a, b) for a, b in zip(borders, borders[1:])]
+
+    def texts(self, part: slice) -> list[bytes]:
+        return [self.flat[a:b] for a, b in zip(self.starts[part].tolist(), self.ends[part].tolist())]
 
 
 def _words(docs: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """All words of the texts, dictionary-encoded, and the place of each word's text."""
+    """All words of the texts, dictionary-encoded, and how many each text has."""
     split = [x.split() for x in docs]
-    owner = np.repeat(np.arange(len(docs)), [len(x) for x in split])
-    return pa.array([w for x in split for w in x], pa.binary()).dictionary_encode(), owner
+    return pa.array([w for x in split for w in x], pa.binary()).dictionary_encode(), np.array([len(x) for x in split])
+
 
+def _merged(parts: Iterable[tuple], merge) -> tuple:
+    """All (keys, counts) merged, a few at a time, so that little more than the distinct keys is held."""
+    held: list[tuple] = []
+    for part in parts:
+        held.append(part)
+        if len(held) == 5:
+            held = [merge(held)]
+    return merge(held)
 
-def _distinct_words(parts: list[tuple[pa.DictionaryArray, np.ndarray]], learn: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
+
+def _distinct_words(parts: Iterable[tuple[pa.DictionaryArray, np.ndarray]], learn: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
     """The block's distinct words, and how often its learnt texts have them."""
-    return _summed([
-        (found.dictionary, np.bincount(found.indices.to_numpy(), weights=learnt[owner], minlength=len(found.dictionary)))
-        for (found, owner), learnt in zip(parts, learn)], pa.binary())
+    return _merged((
+        (found.dictionary, np.bincount(found.indices.to_numpy(), weights=np.repeat(learnt, lengths), minlength=len(found.dictionary)))
+        for (found, lengths), learnt in zip(parts, learn)), lambda held: _summed(held, pa.binary()))
+
+
+def _distinct_grams(block: _Block) -> tuple[np.ndarray, np.ndarray]:
+    """The block's distinct grams in order, and how often its learnt texts have them."""
+    def counted(part: slice) -> tuple[np.ndarray, np.ndarray]:
+        places, distinct = pd.factorize(grams(block.texts(part)))
+        weights = np.repeat(block.learn[part], (block.ends - block.starts)[part] + 1)
+        return distinct, np.bincount(places, weights=weights, minlength=len(distinct))
+
+    def merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        return keys, np.bincount(at, weights=np.concatenate([n for _, n in held]), minlength=len(keys)).astype(np.int64)
+
+    return _merged(map(counted, block.parts), merge)
+
+
+def _sent(block: int, word: pa.Array, gram: pa.Array, n: np.ndarray) -> Iterable[pa.RecordBatch]:
+    for i in range(0, len(n), SENT):
+        part = n[i:i + SENT]
+        yield pa.record_batch(
+            [pa.array(np.full(len(part), block)), word.slice(i, SENT), gram.slice(i, SENT), pa.array(part)], ["block", "word", "gram", "n"])
 
 
 def _counts(batches):
     for batch in batches:
         for row in batch.to_pylist():
-            docs, learn = _unpacked(row)
-            parts, coded = sliced(docs, STEP_BYTES), []
-            word, n_word = _distinct_words([_words(docs[part]) for part in parts], [learn[part] for part in parts])
-            for part in parts:
-                places, distinct = pd.factorize(grams(docs[part]))
-                weights = np.repeat(learn[part], [len(x) + 1 for x in docs[part]])
-                coded.append((distinct, np.bincount(places, weights=weights, minlength=len(distinct))))
-            gram, n_gram = _summed(coded, pa.int64())
-            # In order, rows compress far better on their way.
-            by_word, by_gram = pc.sort_indices(word), np.argsort(gram.to_numpy())
-            word, n_word, gram, n_gram = word.take(by_word), n_word[by_word.to_numpy()], gram.take(pa.array(by_gram)), n_gram[by_gram]
-            yield pa.record_batch([
-                pa.array(np.full(len(word) + len(gram), row["block"]), pa.int64()),
-                pa.concat_arrays([word, pa.nulls(len(gram), pa.binary())]), pa.concat_arrays([pa.nulls(len(word), pa.int64()), gram]),
-                pa.array(np.concatenate([n_word, n_gram]), pa.int64()),
-            ], ["block", "word", "gram", "n"])
+            block = _Block(row)
+            # Each kind is sent in order: rows compress far better then.
+            word, n = _distinct_words((_words(block.texts(part)) for part in block.parts), [block.learn[part] for part in block.parts])
+            order = pc.sort_indices(word)
+            yield from _sent(row["block"], word.take(order), pa.nulls(len(word), pa.int64()), n[order.to_numpy()])
+            del word, order, n
+            release_memory()
+            gram, n = _distinct_grams(block)
+            yield from _sent(row["block"], pa.nulls(len(gram), pa.binary()), pa.array(gram), n)
+            del block, gram, n
+            release_memory()
 
 
 class _Level:
@@ -207,35 +252,37 @@ def _model_block(pairs: tuple[np.ndarray, np.ndarray]):
     return run
 
 
-def _score_block(key: tuple, block: pa.Table, lexicon: pa.Table) -> pa.Table:
-    row = block.to_pylist()[0]
-    docs, learn = _unpacked(row)
-    is_gram = lexicon["gram"].is_valid().to_numpy()
-    value = lexicon["value"].to_numpy()
-    gram = lexicon["gram"].filter(pa.array(is_gram)).to_numpy()
-    order = np.argsort(gram)
-    gram, gram_value = gram[order], value[is_gram][order]
+def _score_block(key: tuple, packed: pa.Table, lexicon: pa.Table) -> pa.Table:
+    row = packed.to_pylist()[0]
+    block = _Block(row)
+    own = lexicon.filter(pc.is_valid(lexicon["gram"]))
+    order = np.argsort(own["gram"].to_numpy())
+    gram, gram_value = own["gram"].to_numpy()[order], own["value"].to_numpy()[order]
     # Words of learnt texts, by the block's own count; then those that others hold too, by the whole count.
-    parts = sliced(docs, STEP_BYTES)
-    split = [_words(docs[part]) for part in parts]
-    word, n = _distinct_words(split, [learn[part] for part in parts])
-    word_value = np.log10(n + 0.5)
-    word_value[pc.index_in(lexicon["word"].filter(pa.array(~is_gram)).combine_chunks(), word).to_numpy()] = value[~is_gram]
+    split = [_words(block.texts(part)) for part in block.parts]
+    word, n = _distinct_words(split, [block.learn[part] for part in block.parts])
+    word_value, own = np.log10(n + 0.5), lexicon.filter(pc.is_valid(lexicon["word"]))
+    word_value[pc.index_in(own["word"].combine_chunks(), word).to_numpy()] = own["value"].to_numpy()
     n_tokens, n_known, base, scores = [], [], [], []
     # The base score needs N and V, which come later: only the sum of log10(c + 0.5) is taken here.
-    for part, (found, owner) in zip(parts, split):
-        places, distinct = pd.factorize(grams(docs[part]))
+    for part, (found, lengths) in zip(block.parts, split):
+        places, distinct = pd.factorize(grams(block.texts(part)))
         logs = gram_value[np.searchsorted(gram, distinct)][places]
-        scores.append(np.add.reduceat(logs, np.cumsum([0, *(len(x) + 1 for x in docs[part])])[:-1]))
+        ends = np.cumsum((block.ends - block.starts)[part] + 1)
+        scores.append(np.add.reduceat(logs, np.concatenate([[0], ends[:-1]])))
         got = word_value[pc.index_in(found.dictionary, word).to_numpy()][found.indices.to_numpy()]
-        size = part.stop - part.start
-        n_tokens.append(np.bincount(owner, minlength=size) + 1)
+        size = len(lengths)
+        owner = np.repeat(np.arange(size), lengths)
+        n_tokens.append(lengths + 1)
         n_known.append(np.bincount(owner, weights=got > HALF, minlength=size).astype(np.int64))
         base.append(np.bincount(owner, weights=got, minlength=size))
-    return pa.table({
-        "doc_id": pa.array(row["ids"], pa.int64()), "learn": learn, "n_tokens": np.concatenate(n_tokens), "n_known": np.concatenate(n_known),
+    scored = pa.table({
+        "doc_id": pa.array(row["ids"], pa.int64()), "learn": block.learn, "n_tokens": np.concatenate(n_tokens), "n_known": np.concatenate(n_known),
         "word_log10": np.concatenate(base), "score": np.concatenate(scores),
     })
+    del row, block, own, gram, gram_value, order, split, word, word_value, n
+    release_memory()
+    return scored
 
 
 def score(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
