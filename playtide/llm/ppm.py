@@ -255,14 +255,18 @@ def _model_block(pairs: tuple[np.ndarray, np.ndarray]):
 def _score_block(key: tuple, packed: pa.Table, lexicon: pa.Table) -> pa.Table:
     row = packed.to_pylist()[0]
     block = _Block(row)
-    own = lexicon.filter(pc.is_valid(lexicon["gram"]))
-    order = np.argsort(own["gram"].to_numpy())
-    gram, gram_value = own["gram"].to_numpy()[order], own["value"].to_numpy()[order]
+    is_gram = pc.is_valid(lexicon["gram"])
+    gram, gram_value = lexicon["gram"].filter(is_gram).to_numpy(), lexicon["value"].filter(is_gram).to_numpy()
+    order = np.argsort(gram)
+    gram, gram_value = gram[order], gram_value[order]
+    del is_gram, order
     # Words of learnt texts, by the block's own count; then those that others hold too, by the whole count.
     split = [_words(block.texts(part)) for part in block.parts]
     word, n = _distinct_words(split, [block.learn[part] for part in block.parts])
-    word_value, own = np.log10(n + 0.5), lexicon.filter(pc.is_valid(lexicon["word"]))
-    word_value[pc.index_in(own["word"].combine_chunks(), word).to_numpy()] = own["value"].to_numpy()
+    word_value, is_word = np.log10(n + 0.5), pc.is_valid(lexicon["word"])
+    shared = lexicon["word"].filter(is_word).combine_chunks()
+    word_value[pc.index_in(shared, word).to_numpy()] = lexicon["value"].filter(is_word).to_numpy()
+    del shared, is_word
     n_tokens, n_known, base, scores = [], [], [], []
     # The base score needs N and V, which come later: only the sum of log10(c + 0.5) is taken here.
     for part, (found, lengths) in zip(block.parts, split):
@@ -280,7 +284,7 @@ def _score_block(key: tuple, packed: pa.Table, lexicon: pa.Table) -> pa.Table:
         "doc_id": pa.array(row["ids"], pa.int64()), "learn": block.learn, "n_tokens": np.concatenate(n_tokens), "n_known": np.concatenate(n_known),
         "word_log10": np.concatenate(base), "score": np.concatenate(scores),
     })
-    del row, block, own, gram, gram_value, order, split, word, word_value, n
+    del row, block, gram, gram_value, split, word, word_value, n
     release_memory()
     return scored
 
