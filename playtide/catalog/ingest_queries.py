@@ -143,11 +143,12 @@ CASE WHEN mode = 'story' THEN CAST(split_part(stage_id, '-', 2) AS INTEGER) END
 )(lambda t: ingest.with_stage(t.current).select("event_id", "chapter", "stage_no"))
 query(
     "plain_stage_ids",
-    "SELECT event_id, (score - 100) // 7 % 50 // 10 + 1 AS chapter, (score - 100) // 7 % 10 + 1 AS stage_no FROM ev WHERE score > 0",
+    """SELECT event_id, greatest(score - 100, 0) // 7 % 50 // 10 + 1 AS chapter, greatest(score - 100, 0) // 7 % 10 + 1 AS stage_no
+FROM ev""",
 )(
     lambda t: ingest.with_stage(
-        t.current.filter(F.col("score") > 0).select(
-            "event_id", (F.floor((F.col("score") - 100) / 7) % 50 + 1).cast("string").alias("stage_id")
+        t.current.select(
+            "event_id", (F.floor(F.greatest(F.col("score") - 100, F.lit(0)) / 7) % 50 + 1).cast("string").alias("stage_id")
         )
     ).select("event_id", "chapter", "stage_no")
 )

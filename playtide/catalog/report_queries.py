@@ -7,6 +7,8 @@ from playtide.catalog.sql import pct, rnd
 from playtide.plans import game, legacy, operations as ops
 
 LATE = 'abs("timestamp" - client_timestamp) > 30000'
+#: The reports of a part of the time start at the 15th of January 2024.
+SINCE_MS = 1_705_276_800_000
 
 # Operations and quality
 
@@ -39,6 +41,11 @@ query(
     """SELECT day_text AS day, count(*) AS total_events, count(*) FILTER (event_type = 'stage_clear') AS clears,
 count(*) FILTER (event_type = 'stage_fail') AS fails FROM ev GROUP BY 1""",
 )(lambda t: ops.daily_events(t.events))
+query(
+    "daily_events_since",
+    f"""SELECT day_text AS day, count(*) AS total_events, count(*) FILTER (event_type = 'stage_clear') AS clears,
+count(*) FILTER (event_type = 'stage_fail') AS fails FROM ev WHERE "timestamp" >= {SINCE_MS} GROUP BY 1""",
+)(lambda t: ops.daily_events(t.events, SINCE_MS))
 query(
     "event_types",
     f"""SELECT event_type, count(*) AS cnt, {pct('count(*)', '(SELECT count(*) FROM ev )', 1)} AS pct
@@ -48,6 +55,11 @@ query(
     "hourly_events",
     """SELECT strftime(hour + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS events FROM ev GROUP BY 1""",
 )(lambda t: ops.hourly_events(t.events))
+query(
+    "hourly_events_since",
+    f"""SELECT strftime(hour + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S') AS hour, count(*) AS events FROM ev
+WHERE "timestamp" >= {SINCE_MS} GROUP BY 1""",
+)(lambda t: ops.hourly_events(t.events, since_ms=SINCE_MS))
 query(
     "alert_summary",
     """SELECT alert_type, count(*) AS cnt, count(DISTINCT user_key) AS users,
@@ -131,6 +143,17 @@ query(
     "daily_results",
     "SELECT day_text AS day, CAST(sum(clears) AS BIGINT) AS clears, CAST(sum(fails) AS BIGINT) AS fails FROM daily GROUP BY 1",
 )(lambda t: game.daily_results(t.daily))
+query(
+    "daily_plays_14_days",
+    """SELECT day_text AS day, CAST(sum(CASE WHEN mode = 'story' THEN clears + fails ELSE 0 END) AS BIGINT) AS story,
+CAST(sum(CASE WHEN mode = 'time_attack' THEN clears + fails ELSE 0 END) AS BIGINT) AS time_attack FROM daily
+WHERE day >= (SELECT max(day) FROM daily ) - 14 GROUP BY 1""",
+)(lambda t: game.daily_plays(t.daily, since=F.date_sub(t.daily.agg(F.max("day")).scalar(), 14)))
+query(
+    "daily_results_14_days",
+    """SELECT day_text AS day, CAST(sum(clears) AS BIGINT) AS clears, CAST(sum(fails) AS BIGINT) AS fails FROM daily
+WHERE day >= (SELECT max(day) FROM daily ) - 14 GROUP BY 1""",
+)(lambda t: game.daily_results(t.daily, since=F.date_sub(t.daily.agg(F.max("day")).scalar(), 14)))
 query(
     "story_clear_rates",
     f"""SELECT stage_id, {rnd('clears * CAST(100 AS DOUBLE) / greatest(attempts, 1)', 1)} AS clear_rate_pct

@@ -1,9 +1,10 @@
 """First-seen filter per event id with a time to live that duplicates do not refresh.
 
-An id is let through, blocks its copies for ``ttl_ms`` and may then pass again. The first copy of an id always passes,
-which one map-side combined aggregation finds. Only ids whose copies span the whole time to live can pass twice; those
-are rare, and their later passes are found by pointer doubling over (id, time) pairs. No task ever holds all the copies
-of an id, so one id may be as frequent as it likes.
+An id is let through, blocks its copies for ``ttl_ms`` and may then pass again. One hash aggregation of the times finds
+the ids that come more than once; the rows of all others pass untouched. The first copy of a repeated id always passes, which
+a map-side combined minimum finds. Only ids whose copies span the whole time to live can pass twice; those are rare, and
+their later passes are found by pointer doubling over (id, time) pairs. No task ever holds all the copies of an id, so one id
+may be as frequent as it likes.
 """
 
 from __future__ import annotations
@@ -25,9 +26,23 @@ def _first_rows(df: DataFrame, by: list[str], time_col: str) -> DataFrame:
     return picked.select(*[F.col(c) if c in by else F.col(f"_first.{c}").alias(c) for c in df.columns])
 
 
+def _split_repeated(df: DataFrame, key: str, time_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of keys that come once, and the rows of the others with their key's first and last time (``_lo``, ``_hi``).
+
+    The repeated keys are written, so their real size decides whether the raw rows need a shuffle to be told apart. Rows without a
+    key share one.
+    """
+    spans = df.groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
+    repeated = written(spans.filter("_rows > 1").drop("_rows"), "repeated")
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    return df.join(repeated.select("_key"), same, "left_anti"), written(df.join(repeated, same).drop("_key"), "copies")
+
+
 def first_by_key(df: DataFrame, key: str = "event_id", time_col: str = "timestamp") -> DataFrame:
     """Keep the first row per key, without expiry."""
-    return _first_rows(df, [key], time_col)
+    single, copies = _split_repeated(df, key, time_col)
+    return single.unionByName(_first_rows(copies.select(*df.columns), [key], time_col))
 
 
 def _next_pass(nodes: DataFrame, ttl_ms: int) -> DataFrame:
@@ -61,7 +76,7 @@ def _next_pass(nodes: DataFrame, ttl_ms: int) -> DataFrame:
 
 def _passes(nodes: DataFrame, ttl_ms: int) -> DataFrame:
     """(key, at) of every pass after the first, for keys with distinct copy times ``nodes``."""
-    nodes = written(nodes, "copies")
+    nodes = written(nodes, "times")
     longest = nodes.groupBy("key").agg((F.max("at") - F.min("at")).alias("span")).agg(F.max("span")).first()[0]
     if longest is None:
         return nodes
@@ -84,13 +99,13 @@ def dedup(df: DataFrame, key: str = "event_id", ttl_ms: int = TTL_MS, time_col:
 
     ``time_col`` is the arrival clock in epoch milliseconds.
     """
-    spans = df.groupBy(key).agg(F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
-    repeated = written(spans.filter(F.col("_hi") - F.col("_lo") >= F.lit(ttl_ms)).select(key, "_lo"), "repeated")
-    copies = df.join(repeated, key)
-    nodes = copies.select(F.col(key).alias("key"), F.col(time_col).alias("at")).distinct()
+    single, copies = _split_repeated(df, key, time_col)
+    wide = copies.filter((F.col("_hi") - F.col("_lo") >= F.lit(ttl_ms)) & F.col(key).isNotNull())
+    nodes = wide.select(F.col(key).alias("key"), F.col(time_col).alias("at")).distinct()
     passes = _passes(nodes, ttl_ms).select(F.col("key").alias(key), F.col("at").alias(time_col))
-    later = copies.filter(F.col(time_col) > F.col("_lo")).join(passes, [key, time_col]).select(*df.columns)
-    return first_by_key(df, key, time_col).unionByName(_first_rows(later, [key, time_col], time_col))
+    later = wide.filter(F.col(time_col) > F.col("_lo")).join(passes, [key, time_col]).select(*df.columns)
+    first = _first_rows(copies.select(*df.columns), [key], time_col)
+    return single.unionByName(first).unionByName(_first_rows(later, [key, time_col], time_col))
 
 
 def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:

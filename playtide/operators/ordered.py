@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR_MS = 3_600_000
+#: Slices whose counts one task carries on where there is no key to share them out.
+SPAN = 86_400
 
 #: Arrival order of events. All events of one request share ``timestamp``; ``seq`` and the unique id settle ties.
 ARRIVAL = ("timestamp", "seq", "event_id")
@@ -47,6 +49,12 @@ def with_previous(
     )
 
 
+def _carried(rows: DataFrame, keys: Sequence[str], order: str, sums: dict[str, str]) -> DataFrame:
+    """For each row, the sums over the earlier rows of its key: new name -> summed column."""
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select(*keys, order, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(name) for name, c in sums.items()])
+
+
 def with_running_counts(
     df: DataFrame,
     keys: Sequence[str],
@@ -56,19 +64,24 @@ def with_running_counts(
 ) -> DataFrame:
     """Add one running count per entry of ``counts``: rows of the key up to and including this one where the flag holds.
 
-    Without ``keys`` the count runs over all rows; choose a slice narrow enough for one task then.
+    Without ``keys`` the count runs over all rows; choose a slice narrow enough for one task then. Counts are carried in two
+    levels there: over the slices of a span of ``SPAN`` slices, and over the spans, of which a second's slices make one a day.
     """
     hits = {name: F.when(flag, F.lit(1)).otherwise(F.lit(0)).cast("bigint") for name, flag in counts.items()}
     sliced = df.withColumns({"_slice": time_slice(order[0], slice_ms), **{f"_hit_{n}": hit for n, hit in hits.items()}})
     inside = (
         Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(*[F.sum(f"_hit_{n}").alias(f"_hits_{n}") for n in counts])
-        .select(*keys, "_slice", *[F.coalesce(F.sum(f"_hits_{n}").over(before), F.lit(0)).alias(f"_carry_{n}") for n in counts])
-    )
+    per_slice = sliced.groupBy(*keys, "_slice").agg(*[F.sum(f"_hit_{n}").alias(f"_hits_{n}") for n in counts])
+    hits_of = {f"_carry_{n}": f"_hits_{n}" for n in counts}
+    if keys:
+        carried = _carried(per_slice, keys, "_slice", hits_of)
+    else:
+        per_slice = per_slice.withColumn("_span", F.floor(F.col("_slice") / F.lit(SPAN)))
+        per_span = per_slice.groupBy("_span").agg(*[F.sum(f"_hits_{n}").alias(f"_hits_{n}") for n in counts])
+        spans = _carried(per_span, [], "_span", {f"_span_{n}": f"_hits_{n}" for n in counts})
+        carried = _carried(per_slice, ["_span"], "_slice", hits_of).join(spans, "_span").select(
+            "_slice", *[(F.col(f"_carry_{n}") + F.col(f"_span_{n}")).alias(f"_carry_{n}") for n in counts])
     return (
         sliced.withColumns({f"_in_{n}": F.sum(f"_hit_{n}").over(inside) for n in counts})
         .join(carried, [*keys, "_slice"], "left")

@@ -47,25 +47,28 @@ def inactivity_gaps(df: DataFrame, silence_ms: int = SILENCE_MS) -> DataFrame:
     """Events that end a silence longer than ``silence_ms``, with whole minutes of it and the user's event number.
 
     Two events in one time slice of that width cannot be further apart than the width, so only the first event of a
-    slice can end a silence: the raw rows are aggregated per (user, slice) and never sorted.
+    slice can end a silence: users and times meet one hash aggregation per (user, slice), and only the events at the
+    times so found, most often one each, are compared to tell which came first.
     """
     slices = (
         df.withColumn("_slice", time_slice("timestamp", silence_ms))
         .groupBy("user_key", "_slice")
-        .agg(
-            F.min(F.struct(*ARRIVAL)).alias("_first"),
-            F.max("timestamp").alias("_last_ms"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
+        .agg(F.min("timestamp").alias("_first_ms"), F.max("timestamp").alias("_last_ms"), F.count(F.lit(1)).alias("_rows"))
     )
     by_user = Window.partitionBy("user_key").orderBy("_slice")
-    gap = F.col("_first.timestamp") - F.lag("_last_ms").over(by_user)
+    gap = F.col("_first_ms") - F.lag("_last_ms").over(by_user)
     number = F.sum("_rows").over(by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_rows") + 1
-    return (
-        slices.select("user_key", "_first.*", gap.alias("gap_ms"), number.alias("event_no"))
-        .filter(F.col("gap_ms") > F.lit(silence_ms))
-        .withColumn("gap_minutes", F.floor(F.col("gap_ms") / F.lit(60_000)))
-        .select("user_key", "event_id", "timestamp", "gap_ms", "gap_minutes", "event_no")
+    silences = slices.select(
+        F.col("user_key").alias("_user"), F.col("_first_ms"), gap.alias("gap_ms"), number.alias("event_no")
+    ).filter(F.col("gap_ms") > F.lit(silence_ms))
+    ends = (
+        df.select("user_key", *ARRIVAL)
+        .join(silences, F.col("user_key").eqNullSafe(F.col("_user")) & (F.col("timestamp") == F.col("_first_ms")))
+        .groupBy("user_key", "timestamp", "gap_ms", "event_no")
+        .agg(F.min(F.struct("seq", "event_id"))["event_id"].alias("event_id"))
+    )
+    return ends.select(
+        "user_key", "event_id", "timestamp", "gap_ms", F.floor(F.col("gap_ms") / F.lit(60_000)).alias("gap_minutes"), "event_no"
     )
 
 
@@ -86,8 +89,8 @@ def running_quality_stats(
 ) -> DataFrame:
     """The quality counters after each ``every`` events, in arrival order over all users.
 
-    The count runs over all rows, so the slices are short: a task sorts one second of traffic, and the table that
-    carries the counts from second to second has one row per second.
+    The count runs over all rows, so the slices are short: a task sorts one second of traffic. The counts are carried from
+    second to second within a span of slices, and from span to span.
     """
     narrow = df.select(*ARRIVAL, late(threshold_ms).alias("_late"))
     counted = with_running_counts(narrow, [], {"total": F.lit(True), "late": F.col("_late")}, slice_ms=slice_ms)

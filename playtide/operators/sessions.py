@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from playtide.operators.ordered import time_slice
 from playtide.schema import SESSION_SCHEMA, names
+from playtide.session import written
 
 # The inactivity gap that ends a session, and the label for a session without mode or id.
 GAP_MS = 300_000
@@ -20,11 +21,13 @@ UNKNOWN = "unknown"
 
 def session_slots(df: DataFrame, gap_ms: int = GAP_MS, time_col: str = "timestamp", user: str = "user_key") -> DataFrame:
     """(user, slot) with the start time and running number of the session the slot belongs to."""
-    spans = (
-        df.withColumn("slot", time_slice(time_col, gap_ms))
-        .groupBy(user, "slot")
-        .agg(F.min(time_col).alias("first_ms"), F.max(time_col).alias("last_ms"))
-    )
+    ends = df.select(user, time_slice(time_col, gap_ms).alias("slot"), F.col(time_col).alias("first_ms"), F.col(time_col).alias("last_ms"))
+    return _starts(ends, gap_ms, user)
+
+
+def _starts(ends: DataFrame, gap_ms: int, user: str = "user_key") -> DataFrame:
+    """:func:`session_slots` from rows that hold the first and last time of some events of a (user, slot)."""
+    spans = ends.groupBy(user, "slot").agg(F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms"))
     by_user = Window.partitionBy(user).orderBy("slot")
     so_far = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.lag("last_ms").over(by_user)
@@ -69,19 +72,21 @@ def session_summary(df: DataFrame, gap_ms: int = GAP_MS, time_col: str = "timest
     again = [F.sum(name).alias(name) for name in sums]
     ends = [F.min("first_ms").alias("first_ms"), F.max("last_ms").alias("last_ms")]
 
-    # Raw rows meet one hash aggregation with numeric buffers only; all later steps work on its much smaller output.
-    parts = (
+    # Raw rows are read once and meet one hash aggregation with numeric buffers only; all later steps, the session borders
+    # among them, work on its much smaller output.
+    parts = written(
         df.withColumn("slot", time_slice(time_col, gap_ms))
         .groupBy("user_key", "slot", "mode", "stage_id", "session_id")
         .agg(
             F.min(time_col).alias("first_ms"),
             F.max(time_col).alias("last_ms"),
             *[total.alias(name) for name, total in sums.items()],
-        )
+        ),
+        "session-parts",
     )
     opener = F.min(F.when(F.col("session_id").isNotNull(), F.struct("first_ms", "session_id")))
     by_stage = (
-        parts.join(session_slots(df, gap_ms, time_col), ["user_key", "slot"])
+        parts.join(_starts(parts, gap_ms), ["user_key", "slot"])
         .groupBy(*session, "mode", "stage_id")
         .agg(opener.alias("opener"), *ends, *again)
     )

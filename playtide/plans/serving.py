@@ -100,16 +100,18 @@ def leaderboard_page(best: DataFrame, limit: int = DEFAULT_PAGE, offset: int = 0
 def my_rank(best: DataFrame, user_key: str) -> DataFrame:
     """A user's best entry with its rank; no row for a user without one.
 
-    The rank is one more than the number of distinct results that sort before the user's.
+    The rank is one more than the number of distinct results that sort before the user's. The board is worked out once: its
+    distinct results are written, the user's own with the user's entry.
     """
     result = F.struct(
         (-F.col("score")).alias("score"), (-F.col("stages_cleared")).alias("stages"),
         F.col("avg_clear_ms").isNull().alias("untimed"), F.col("avg_clear_ms"),
     ).alias("result")
-    mine = best.filter(F.col("user_key") == user_key)
-    own = mine.select(result).scalar()
-    better = best.select(result).distinct().filter(F.col("result") < own).agg(F.count(F.lit(1)))
-    return mine.withColumn("rank", better.scalar() + 1)
+    entry = F.when(F.col("user_key") == user_key, F.struct(*best.columns))
+    results = written(best.groupBy(result).agg(F.max(entry).alias("mine")), "results")
+    own = results.filter(F.col("mine").isNotNull())
+    better = results.filter(F.col("result") < own.select("result").scalar()).agg(F.count(F.lit(1)))
+    return own.select("mine.*").withColumn("rank", better.scalar() + 1)
 
 
 def stage_progress(clears: DataFrame, time_col: str = "timestamp") -> DataFrame:
