@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.common import LOWER, fold, release_memory, table, texts
+from playtide.llm.common import LOWER, fold, release_memory, sliced, table, texts
 from playtide.session import written
 
 #: Bytes of context. Each symbol takes 9 bits, so a gram of seven symbols still fits a long.
@@ -39,12 +39,12 @@ BITS, END = 9, 257
 #: What an unseen word adds to the base score, before its share of the total.
 HALF = math.log10(0.5)
 #: Text bytes of a block of documents, and of a step within it.
-BLOCK_BYTES, STEP_BYTES = 32 << 20, 1 << 20
+BLOCK_BYTES, STEP_BYTES = 32 << 20, 1 << 19
 #: Rows of a batch that a block sends.
 SENT = 100_000
 #: Rows taken out of a batch at a time.
 PACKED = 500
-BLOCK = "block long, ids array<long>, learn array<boolean>, ends array<long>, packed binary"
+BLOCK = "block long, ids array<long>, learn array<boolean>, lengths array<long>, steps array<long>, packed array<binary>"
 
 
 def grams(docs: list[bytes], order: int = ORDER) -> np.ndarray:
@@ -71,15 +71,17 @@ def _summed(parts: list[tuple], of: pa.DataType) -> tuple[pa.Array, np.ndarray]:
 
 
 def _pack(batches):
-    """Blocks of whole documents, lower-cased, in the order they come."""
+    """Blocks of whole documents, lower-cased, in the order they come; a block is compressed step by step."""
     ids, learn, docs, size, block = [], [], [], 0, TaskContext.get().partitionId() << 32
 
     def packed() -> pa.RecordBatch:
-        ends = np.cumsum([len(x) for x in docs])
+        parts = sliced(docs, STEP_BYTES)
+        longs = pa.list_(pa.int64())
         return pa.record_batch([
-            pa.array([block], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([learn], pa.list_(pa.bool_())),
-            pa.array([ends], pa.list_(pa.int64())), pa.array([zstandard.compress(b"".join(docs), 3)], pa.binary()),
-        ], ["block", "ids", "learn", "ends", "packed"])
+            pa.array([block], pa.int64()), pa.array([ids], longs), pa.array([learn], pa.list_(pa.bool_())),
+            pa.array([[len(x) for x in docs]], longs), pa.array([[part.stop for part in parts]], longs),
+            pa.array([[zstandard.compress(b"".join(docs[part]), 3) for part in parts]], pa.list_(pa.binary())),
+        ], ["block", "ids", "learn", "lengths", "steps", "packed"])
 
     for batch in batches:
         for i in range(0, len(batch), PACKED):
@@ -99,19 +101,17 @@ def _pack(batches):
 
 
 class _Block:
-    """A packed block's texts, cut out of the whole a step at a time."""
+    """A packed block's texts, unpacked a step at a time."""
 
     def __init__(self, row: dict):
-        self.flat, self.learn = zstandard.decompress(row["packed"]), np.array(row["learn"], bool)
-        self.ends = np.array(row["ends"], np.int64)
-        self.starts = np.concatenate([[0], self.ends[:-1]])
-        # Steps of about STEP_BYTES that end with a whole text.
-        step = self.starts // STEP_BYTES
-        borders = [0, *(np.nonzero(np.diff(step))[0] + 1).tolist(), len(self.ends)]
+        self.learn, self.lengths = np.array(row["learn"], bool), np.array(row["lengths"], np.int64)
+        borders = [0, *row["steps"]]
         self.parts = [slice(a, b) for a, b in zip(borders, borders[1:])]
+        self.packed = dict(zip(borders, row["packed"]))
 
     def texts(self, part: slice) -> list[bytes]:
-        return [self.flat[a:b] for a, b in zip(self.starts[part].tolist(), self.ends[part].tolist())]
+        flat, ends = zstandard.decompress(self.packed[part.start]), np.cumsum(self.lengths[part])
+        return [flat[a:b] for a, b in zip((ends - self.lengths[part]).tolist(), ends.tolist())]
 
 
 def _words(docs: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -141,7 +141,7 @@ def _distinct_grams(block: _Block) -> tuple[np.ndarray, np.ndarray]:
     """The block's distinct grams in order, and how often its learnt texts have them."""
     def counted(part: slice) -> tuple[np.ndarray, np.ndarray]:
         places, distinct = pd.factorize(grams(block.texts(part)))
-        weights = np.repeat(block.learn[part], (block.ends - block.starts)[part] + 1)
+        weights = np.repeat(block.learn[part], block.lengths[part] + 1)
         return distinct, np.bincount(places, weights=weights, minlength=len(distinct))
 
     def merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -267,12 +267,13 @@ def _score_block(key: tuple, packed: pa.Table, lexicon: pa.Table) -> pa.Table:
     shared = lexicon["word"].filter(is_word).combine_chunks()
     word_value[pc.index_in(shared, word).to_numpy()] = lexicon["value"].filter(is_word).to_numpy()
     del shared, is_word
+    release_memory()
     n_tokens, n_known, base, scores = [], [], [], []
     # The base score needs N and V, which come later: only the sum of log10(c + 0.5) is taken here.
     for part, (found, lengths) in zip(block.parts, split):
         places, distinct = pd.factorize(grams(block.texts(part)))
         logs = gram_value[np.searchsorted(gram, distinct)][places]
-        ends = np.cumsum((block.ends - block.starts)[part] + 1)
+        ends = np.cumsum(block.lengths[part] + 1)
         scores.append(np.add.reduceat(logs, np.concatenate([[0], ends[:-1]])))
         got = word_value[pc.index_in(found.dictionary, word).to_numpy()][found.indices.to_numpy()]
         size = len(lengths)
