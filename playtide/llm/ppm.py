@@ -39,7 +39,7 @@ BITS, END = 9, 257
 #: What an unseen word adds to the base score, before its share of the total.
 HALF = math.log10(0.5)
 #: Text bytes of a block of documents, and of a step within it.
-BLOCK_BYTES, STEP_BYTES = 32 << 20, 1 << 19
+BLOCK_BYTES, STEP_BYTES = 32 << 20, 1 << 20
 #: Rows of a batch that a block sends.
 SENT = 100_000
 #: Rows taken out of a batch at a time.
@@ -262,20 +262,26 @@ def _score_block(key: tuple, packed: pa.Table, lexicon: pa.Table) -> pa.Table:
     del is_gram, order
     # Words of learnt texts, by the block's own count; then those that others hold too, by the whole count.
     split = [_words(block.texts(part)) for part in block.parts]
-    word, n = _distinct_words(split, [block.learn[part] for part in block.parts])
+    words_of = [lengths for _, lengths in split]
+    # One dictionary for all steps, so that a word's value is found by its place.
+    found = pa.chunked_array([words for words, _ in split]).unify_dictionaries().chunks
+    del split
+    word, n = found[0].dictionary, 0
+    for part, words, lengths in zip(block.parts, found, words_of):
+        n = n + np.bincount(words.indices.to_numpy(), weights=np.repeat(block.learn[part], lengths), minlength=len(word))
     word_value, is_word = np.log10(n + 0.5), pc.is_valid(lexicon["word"])
     shared = lexicon["word"].filter(is_word).combine_chunks()
     word_value[pc.index_in(shared, word).to_numpy()] = lexicon["value"].filter(is_word).to_numpy()
-    del shared, is_word
+    del word, shared, is_word, n
     release_memory()
     n_tokens, n_known, base, scores = [], [], [], []
     # The base score needs N and V, which come later: only the sum of log10(c + 0.5) is taken here.
-    for part, (found, lengths) in zip(block.parts, split):
+    for part, words, lengths in zip(block.parts, found, words_of):
         places, distinct = pd.factorize(grams(block.texts(part)))
         logs = gram_value[np.searchsorted(gram, distinct)][places]
         ends = np.cumsum(block.lengths[part] + 1)
         scores.append(np.add.reduceat(logs, np.concatenate([[0], ends[:-1]])))
-        got = word_value[pc.index_in(found.dictionary, word).to_numpy()][found.indices.to_numpy()]
+        got = word_value[words.indices.to_numpy()]
         size = len(lengths)
         owner = np.repeat(np.arange(size), lengths)
         n_tokens.append(lengths + 1)
@@ -285,7 +291,7 @@ def _score_block(key: tuple, packed: pa.Table, lexicon: pa.Table) -> pa.Table:
         "doc_id": pa.array(row["ids"], pa.int64()), "learn": block.learn, "n_tokens": np.concatenate(n_tokens), "n_known": np.concatenate(n_known),
         "word_log10": np.concatenate(base), "score": np.concatenate(scores),
     })
-    del row, block, gram, gram_value, split, word, word_value, n
+    del row, block, gram, gram_value, found, words, word_value
     release_memory()
     return scored
 
