@@ -117,6 +117,59 @@ def test_similar_groups_keep_one_of_each(spark, make_docs, monkeypatch, most_pai
     assert simhash.similar_groups(docs.filter("doc_id < 0")).count() == 0
 
 
+def test_similar_groups_are_exact_at_the_limit(spark, make_docs):
+    """Pairs just above a similarity of 0.8 are found (99.7 % by the law), pairs just below never link."""
+    rng = random.Random(11)
+    above, below, rows = 0, 0, []
+    for g in range(400):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(120, 300))]
+        copy, limit = list(base), rng.choice([0.8, 0.74])
+        while True:
+            changed = list(copy)
+            changed[rng.randrange(len(copy))] = f"new{rng.randint(0, 10**6)}"
+            a, b = shingles(" ".join(base)), shingles(" ".join(changed))
+            if len(a & b) / len(a | b) < limit:
+                break
+            copy = changed
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(copy))]
+        a, b = shingles(rows[-2][1]), shingles(rows[-1][1])
+        if len(a & b) / len(a | b) >= 0.8:
+            above += 1
+        else:
+            below += 1
+    same = {2 * g for g in range(400) if len(shingles(rows[2 * g][1]) & shingles(rows[2 * g + 1][1])) >= 0.8 * len(
+        shingles(rows[2 * g][1]) | shingles(rows[2 * g + 1][1]))}
+    kept = {r.doc_id for r in simhash.similar_groups(make_docs(rows)).collect()}
+    print(f"above {above}, found {sum(i + 1 not in kept for i in same)}; below {below}")
+    assert all(i in kept for i in range(0, 800, 2))
+    assert all(2 * g + 1 in kept for g in range(400) if 2 * g not in same)
+    assert above > 150 and sum(i + 1 not in kept for i in same) >= 0.98 * above
+
+
+def test_crowded_values_are_verified_exactly(spark, make_docs, monkeypatch):
+    """Variants of one text, so that all meet under crowded values in several blocks: the components of the exact graph."""
+    monkeypatch.setattr(simhash, "PAIR_BLOCK", 16)
+    rng = random.Random(12)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(150)]
+    rows = [(i, " ".join(f"v{i}{k}" if rng.random() < i % 8 / 160 else w for k, w in enumerate(base))) for i in range(90)]
+    sets = {i: shingles(t) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(sets, 2):
+        if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+            parent[max(root(a), root(b))] = min(root(a), root(b))
+    expected = {root(i) for i in sets}
+    assert 2 < len(expected) < 80
+    for most_paired in (2, 50):
+        monkeypatch.setattr(simhash.wide_links, "__defaults__", (4, most_paired))
+        assert {r.doc_id for r in simhash.similar_groups(make_docs(rows)).collect()} == expected
+
+
 def test_decontamination(spark, make_docs):
     rng = random.Random(2)
     text = lambda n: [f"t{rng.randint(0, 10**6)}" for _ in range(n)]
