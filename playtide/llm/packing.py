@@ -121,10 +121,30 @@ def least_capacity(sizes: list[tuple[int, int]], bins: int) -> int:
     return high
 
 
+def spread(sizes: list[tuple[int, int]], bins: int) -> list[tuple[int, int, int, int]]:
+    """Runs as of ``best_fit_decreasing`` over at most ``bins`` bins that fill alike, as far as the groups allow.
+
+    A group larger than its bin's even share of what remains has a bin of its own, and does not set the others' capacity.
+    """
+    left, out = sorted(sizes, reverse=True), []
+    rest, alone = sum(s * n for s, n in left), dict.fromkeys((s for s, _ in left), 0)
+    for size, count in left:
+        while alone[size] < count and bins - len(out) > 1 and size * (bins - len(out)) > rest:
+            out.append((size, alone[size], alone[size] + 1, len(out)))
+            alone[size] += 1
+            rest -= size
+        if alone[size] < count:
+            break
+    first = len(out)
+    left = [(s, n - alone[s]) for s, n in left if n > alone[s]]
+    runs = best_fit_decreasing(left, least_capacity(left, bins - first))
+    return out + [(s, low + alone[s], high + alone[s], number + first) for s, low, high, number in runs]
+
+
 def pack(
     docs: DataFrame, capacity: int | None = None, bins: int | None = None, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """Put documents into shards of at most ``capacity`` bytes, as few as the method finds, or into ``bins`` shards of least capacity.
+    """Put documents into shards of at most ``capacity`` bytes, as few as the method finds, or into ``bins`` shards that fill alike.
 
     Returns doc_id, size (UTF-8 bytes and 1), text_crc32, shard and slot (place within the shard, from 0). Rows with equal text stay
     together; a null text counts as empty. Ranks follow the text's hash, slots the hash of the id; repeated rows each have a
@@ -138,8 +158,8 @@ def pack(
 
     def planned(runs):
         histogram = [(int(s), int(n)) for part in runs for s, n in zip(part["total"], part["count"])]
-        room = capacity or least_capacity(histogram, bins or 1)
-        yield pd.DataFrame(best_fit_decreasing(histogram, room), columns=["total", "low", "high", "shard"])
+        runs = best_fit_decreasing(histogram, capacity) if capacity else spread(histogram, bins or 1)
+        yield pd.DataFrame(runs, columns=["total", "low", "high", "shard"])
 
     # The histogram has at most sqrt(2 x total size) rows, and meets in one task.
     plan = written(

@@ -145,6 +145,25 @@ def test_near_equal_shards(spark):
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 0.01 * max(sizes)
 
 
+@pytest.mark.parametrize("copies", [[300], [250, 200], [900]])
+def test_shards_beside_hot_groups_are_near_equal(spark, make_docs, copies):
+    """One or two groups of equal texts hold a quarter to three quarters of the bytes; the other rows fill the other shards alike."""
+    rows = [(i, f"{i:06d} " + "x" * (40 + i % 7)) for i in range(600)]
+    rows += [(1000 * k + i, f"copied {k} " + "y" * 43) for k, n in enumerate(copies, 1) for i in range(n)]
+    sizes = sorted(r.n for r in packing.pack(make_docs(rows), bins=8).groupBy("shard").agg(F.sum("size").alias("n")).collect())
+    hot = sorted(n * 53 for n in copies)
+    assert len(sizes) == 8 and sizes[-len(hot):] == hot
+    assert sizes[-len(hot) - 1] - sizes[0] <= 0.02 * sizes[0]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 400), max_size=60), st.integers(1, 9))
+def test_spread_places_every_group_once(sizes, bins):
+    runs = packing.spread(list(Counter(sizes).items()), bins)
+    assert sorted((s, k) for s, low, high, _ in runs for k in range(low, high)) == sorted((s, k) for s, n in Counter(sizes).items() for k in range(n))
+    assert all(0 <= b < bins for *_, b in runs)
+
+
 def test_positions_have_no_gaps(spark):
     rows = spark.range(1000).withColumn("k", F.when(F.col("id") < 900, 0).otherwise(F.col("id") % 3))
     got = positions(rows, ["k"], F.pmod(F.col("id"), F.lit(7)), [F.col("id")], "at").groupBy("k").agg(
