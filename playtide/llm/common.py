@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from playtide.session import written
+
 #: White space of the contracts: blank and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]"
 #: Lower-cases A-Z only, as the contracts ask; bytes.split() then splits at exactly SPACE.
@@ -22,6 +24,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tagged(docs: DataFrame, purpose: str) -> DataFrame:
+    """``docs`` in a written table, with a number for each row (_row): ids may be missing or repeated."""
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), purpose, compression="zstd")
+
+
 def fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id's decimal text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playtide.llm.common import table
+from playtide.llm.common import table, tagged
 from playtide.session import written
 
 #: Distinct sites from which a line counts as boilerplate.
@@ -17,12 +17,12 @@ KEY = ["h1", "h2"]
 
 
 def line_rows(docs: DataFrame, doc_id: str, text: str, site: str) -> DataFrame:
-    """doc_id, pos, site and the 128-bit hash of each line that is not blank, without the blanks around it."""
+    """_row, doc_id, pos, site and the 128-bit hash of each line that is not blank, without the blanks around it."""
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(site).cast("string").alias("site"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
+        "_row", F.col(doc_id).alias("doc_id"), F.col(site).cast("string").alias("site"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
     rows = rows.withColumn("line", F.btrim("line", F.lit(BLANKS))).filter("line != ''")
     return rows.select(
-        "doc_id", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
+        "_row", "doc_id", "site", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -44,25 +44,26 @@ def dedup_lines(
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text, and the columns n_lines and n_removed.
 
-    The first occurrence of such a line, by (doc_id, place), stays, so no passage is lost as a whole. Blank lines stay. A null
-    text stays null with 0 lines; a document left without lines has an empty text. Rows with a null doc_id sort first and are
-    treated alike; rows that share a doc_id lose the same places. Columns named n_lines or n_removed are replaced, all others
-    stay. An empty table gives an empty table.
+    The first occurrence of such a line, by (doc_id, row, place), stays, so no passage is lost as a whole. Blank lines stay. A null
+    text stays null with 0 lines; a document left without lines has an empty text. Rows with a null doc_id sort first; each row
+    loses lines of its own only, also where rows share a doc_id or have none. Columns named n_lines or n_removed are replaced, all
+    others stay. An empty table gives an empty table.
     """
-    lines = written(line_rows(docs, doc_id, text, site), "lines")
+    docs = tagged(docs.drop("n_lines", "n_removed"), "line-docs")
+    lines = written(line_rows(docs, doc_id, text, site), "lines", compression="zstd")
     spread = written(boilerplate(lines, min_sites), "boilerplate")
-    found = lines.join(spread, KEY).select("doc_id", "pos", *KEY)
-    first = found.groupBy(*KEY).agg(F.min(F.struct("doc_id", "pos")).alias("first"))
-    removed = found.join(first, KEY).filter(~F.struct("doc_id", "pos").eqNullSafe(F.col("first"))).groupBy(
-        F.col("doc_id").alias("_doc_id")).agg(F.collect_set("pos").alias("_gone"))
+    found = lines.join(spread, KEY).select("_row", "doc_id", "pos", *KEY)
+    at = F.struct("doc_id", "_row", "pos")
+    first = found.groupBy(*KEY).agg(F.min(at).alias("first"))
+    removed = found.join(first, KEY).filter(~at.eqNullSafe(F.col("first"))).groupBy("_row").agg(F.collect_set("pos").alias("_gone"))
     split = F.split(text, "\n")
     gone = F.coalesce(F.col("_gone"), F.array().cast("array<int>"))
     kept = F.filter(split, lambda _, i: ~F.array_contains(gone, i))
-    return docs.drop("n_lines", "n_removed").join(removed, F.col(doc_id).eqNullSafe(F.col("_doc_id")), "left").withColumns({
+    return docs.join(removed, "_row", "left").withColumns({
         text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")),
         "n_lines": F.coalesce(F.size(split), F.lit(0)),
         "n_removed": F.coalesce(F.size(split) - F.size(kept), F.lit(0)),
-    }).drop("_doc_id", "_gone")
+    }).drop("_row", "_gone")
 
 
 def op7_line_dedup(spark, folder: str) -> DataFrame:

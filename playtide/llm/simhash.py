@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from playtide.llm.common import LOWER, positions, table, texts
+from playtide.llm.common import LOWER, positions, table, tagged, texts
 from playtide.llm.components import connected_components
 from playtide.session import written
 
@@ -372,7 +372,7 @@ def similar_groups(
     a null doc_id stays only in a group that has no other. All columns are returned as they came; an empty table stays empty.
     """
     names = [f"w{k}" for k in range(salts)]
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "similar-rows", compression="zstd")
+    rows = tagged(docs, "similar-rows")
     prints = written(fingerprints(rows.withColumn("_id", F.col(doc_id)), ["_row", "_id"], text, words, salts), "similar-prints")
     best = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))).alias("best")
     values = written(prints.groupBy(*names).agg(best).withColumn("id", F.monotonically_increasing_id()), "similar-values")

@@ -287,6 +287,14 @@ def test_pipeline_stages(spark):
     assert final == {(r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, FOLDER).collect()}
 
 
+def test_decontamination_stage_removes_single_rows(spark, make_docs, tmp_path):
+    item = "the quick brown fox jumps over the lazy dog and runs away from all the hounds"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(doc, text) for doc in (None, 3) for text in ("clean one", f"before {item} after", "clean two")]
+    got = corpus_pipeline.decontamination(spark, make_docs(rows), str(tmp_path))
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted((str(d), t) for d, t in rows if "fox" not in t)
+
+
 def test_pipeline_stages_on_edges(spark, make_docs, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([(1, 1, 0), (5, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")

@@ -271,6 +271,18 @@ def test_lines_equal_plain_python(spark, make_docs):
     assert lines.dedup_lines(make_docs(rows).filter("doc_id < 0")).count() == 0
 
 
+def test_lines_of_rows_without_an_id_of_their_own(spark, make_docs):
+    """Rows that share an id, or have none, lose their own boilerplate only; copies of one row lose it in all but one."""
+    rows = [(i, f"shared line\nown {i}", "en", f"s{i}") for i in range(5)]
+    rows += [(doc, text, "en", "s9") for doc in (None, 7) for text in ("clean a\nshared line", "shared line\nclean b", "clean c\nclean d", "x\nshared line", "x\nshared line")]
+    got = sorted((str(r.doc_id), r.text, r.n_removed) for r in lines.dedup_lines(make_docs(rows), min_sites=5).collect())
+    plain = [(str(r[0]), "\n".join(x for x in r[1].split("\n") if x != "shared line"), int("shared line" in r[1])) for r in rows]
+    kept = [r for r in got if "shared line" in r[1]]
+    assert len(kept) == 1 and kept[0][0] == "None" and kept[0][2] == 0
+    bare = "\n".join(x for x in kept[0][1].split("\n") if x != "shared line")
+    assert sorted([*(r for r in got if r != kept[0]), ("None", bare, 1)]) == sorted(plain)
+
+
 def test_line_dedup_equals_its_sql(spark):
     from compare import connect, differences
 
