@@ -39,10 +39,11 @@ class Transducer:
         self.score = {self.pieces[i]: model.get_score(i) for i in plain}
         self.starts = {p[:k] for p in self.arcs for k in range(1, len(p) + 1)}
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         if any(MARK in p.lstrip(MARK) for p in self.arcs) or any(c not in self.arcs for p in self.arcs for c in p):
             raise ValueError("pieces must keep marks in front and be made of characters that are pieces")
-        self.hidden = {i for i in range(len(self.pieces)) if model.is_control(i)}
+        byte_of = {i: b for b, i in enumerate(self.byte_ids)}
+        self.spelled = [
+            bytes([byte_of[i]]) if i in byte_of else b"" if model.is_control(i) else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
         self.pairs: dict[tuple[str, str], bool] = {}
         self.table = UnitTable(self.units, lambda units: in_a_row(map(self.path, units)))
 
@@ -141,9 +142,9 @@ class Transducer:
 
     def decode(self, ids: np.ndarray) -> str:
         """Pieces and bytes back to text, without the mark in front."""
-        out = b"".join(
-            bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.hidden else self.pieces[i].encode() for i in ids.tolist())
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        spelled = self.spelled
+        # A mark may also come as its bytes.
+        text = b"".join([spelled[i] for i in ids.tolist()]).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -152,17 +153,23 @@ def compiled(path: str) -> Transducer:
     return Transducer(path)
 
 
-def _encoded(path: str):
+def _encoded(path: str, back: bool):
     def run(batches):
         model = compiled(path)
         for batch in batches:
             docs = texts(batch["text"])
             for part in sliced(docs, STEP_BYTES):
-                ids, lengths = model.table.encode([x.decode() for x in docs[part]])
+                plain = [x.decode() for x in docs[part]]
+                ids, lengths = model.table.encode(plain)
                 borders = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                yield pa.record_batch(
-                    [batch["doc_id"].slice(part.start, part.stop - part.start), pa.array(lengths, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(borders), pa.array(ids, pa.int32()))], ["doc_id", "n_tokens", "ids"])
+                columns = {
+                    "doc_id": batch["doc_id"].slice(part.start, part.stop - part.start), "n_tokens": pa.array(lengths, pa.int64()),
+                    "ids": pa.ListArray.from_arrays(pa.array(borders), pa.array(ids, pa.int32()))}
+                if back:
+                    decoded = [model.decode(ids[a:b]) for a, b in zip(borders[:-1], borders[1:])]
+                    columns["decoded"] = pa.array(decoded, pa.string())
+                    columns["same"] = pa.array([x == y.replace(MARK, " ") for x, y in zip(decoded, plain)], pa.bool_())
+                yield pa.record_batch(columns)
 
     return run
 
@@ -173,7 +180,14 @@ def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "tex
     Null texts count as empty and have no ids. Nothing is dropped, repeated rows and null ids included; other columns are not read.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_encoded(model), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids array<int>")
+    return rows.mapInArrow(_encoded(model, False), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids array<int>")
+
+
+def encode_and_decode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The columns of ``encode``, decoded (the text that the ids stand for) and same (whether that is the normalised input)."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_encoded(model, True), f"doc_id {kind}, n_tokens long, ids array<int>, decoded string, same boolean")
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
@@ -193,4 +207,4 @@ def model_path() -> str:
 
 
 def op6_sentencepiece(spark, folder: str) -> DataFrame:
-    return encode(table(spark, folder, "documents"), model_path())
+    return encode_and_decode(table(spark, folder, "documents"), model_path())

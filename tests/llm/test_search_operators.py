@@ -215,6 +215,16 @@ def test_sentencepiece_equals_the_library(spark, make_docs):
     assert transducer.encode(make_docs(rows).filter("doc_id < 0"), transducer.model_path()).count() == 0
 
 
+def test_sentencepiece_query_and_stage_decode(spark, make_docs):
+    library = sentencepiece.SentencePieceProcessor(model_file=transducer.model_path())
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    got = transducer.op6_sentencepiece(spark, FOLDER).collect()
+    assert len(got) == len(texts) and all(r.decoded == library.decode(list(r.ids)) == texts[r.doc_id] and r.same for r in got)
+    rows = [*EDGES, *((100 + i, t) for i, t in enumerate(strange_texts(300)))]
+    got = corpus_pipeline.encoding(spark, make_docs(rows), FOLDER).collect()
+    assert sorted((str(d), (t or "").replace("▁", " "), True) for d, t, *_ in rows) == sorted((str(r.doc_id), r.decoded, r.same) for r in got)
+
+
 def test_orc_tokens_equal_the_library(spark, make_docs, tmp_path):
     rows = [*EDGES, *((100 + i, t) for i, t in enumerate(strange_texts(1500)))]
     path = str(tmp_path / "tokens")
