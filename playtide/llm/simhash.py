@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from playtide.llm.common import LOWER, positions, table, tagged, texts
+from playtide.llm.common import LOWER, positions, release_memory, table, tagged, texts
 from playtide.llm.components import connected_components
 from playtide.session import written
 
@@ -41,8 +41,8 @@ DEALINGS = 3
 WIDE_SHARE, FIRST_SHARE = 1 / 4, 13 / 32
 #: Members of a block of a crowded value.
 PAIR_BLOCK = 1024
-#: Shingles whose bits are unpacked at once.
-STEP = 1 << 15
+#: Shingles whose bits are unpacked at once, and fingerprints whose keys are sent at once.
+STEP, KEY_STEP = 1 << 15, 1 << 9
 
 #: A column of 64 bits and some of its bits.
 Group = tuple[str, list[int]]
@@ -87,6 +87,7 @@ def fingerprints(docs: DataFrame, keys: list[str], text: str, words: int, salts:
             found = np.array([majority(shingle_hashes(x, words), salts) for x in texts(batch["_text"])], np.uint64).reshape(-1, salts)
             yield pa.record_batch(
                 [*(batch[k] for k in keys), *(pa.array(found[:, k].copy().view(np.int64)) for k in range(salts))], [*keys, *names])
+        release_memory()
 
     rows = docs.select(*keys, F.col(text).alias("_text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
@@ -262,12 +263,13 @@ def wide_keys(values: DataFrame, names: list[str], orders: list[np.ndarray], par
     """key, id and first (64 bits) for each partition of each (id, fingerprint)."""
     def run(batches):
         for batch in batches:
-            for i in range(0, len(batch), STEP // 8):
-                part = batch.slice(i, STEP // 8)
+            for i in range(0, len(batch), KEY_STEP):
+                part = batch.slice(i, KEY_STEP)
                 keys = partition_keys(np.stack([part[c].to_numpy(zero_copy_only=False) for c in names], 1), orders, parts)
                 yield pa.record_batch([
                     pa.array(keys.ravel()), pa.array(np.repeat(part["id"].to_numpy(), keys.shape[1])),
                     pa.array(np.repeat(part[names[0]].to_numpy(), keys.shape[1]))], ["key", "id", "first"])
+        release_memory()
 
     return values.select("id", *names).mapInArrow(run, "key long, id long, first long")
 
@@ -278,6 +280,7 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             found = [np.unique(shingle_hashes(x, words).view(np.int64)) for x in texts(batch["text"])]
             yield pa.record_batch([batch["id"], pa.array(found, pa.list_(pa.int64()))], ["id", "hashes"])
+        release_memory()
 
     return rows.select("id", "text").mapInArrow(run, "id long, hashes array<long>")
 
@@ -333,13 +336,12 @@ def wide_links(
     """
     distance, orders = round(64 * len(names) * WIDE_SHARE), dealt(len(names), parts)
     most_paired = max(most_paired, 4 * values.count() >> (64 // parts))
-    keys = wide_keys(values, names, orders, parts)
+    keys = written(wide_keys(values, names, orders, parts), "similar-keys", compression="zstd")
     crowded = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_paired).select("key"), "similar-crowded")
-    met = keys.join(crowded, "key", "left_anti").groupBy("key").agg(F.collect_list(F.struct("id", "first")).alias("m")).filter("size(m) > 1")
-    met = met.select(F.explode(F.expr(
-        "flatten(transform(m, (x, i) -> transform(filter(slice(m, i + 2, size(m)), "
-        f"y -> bit_count(x.first ^ y.first) <= {round(64 * FIRST_SHARE)}), "
-        "y -> struct(least(x.id, y.id) AS a, greatest(x.id, y.id) AS b))))")).alias("p")).select("p.a", "p.b").distinct()
+    single = keys.join(crowded, "key", "left_anti")
+    again = single.select("key", F.col("id").alias("b"), F.col("first").alias("second"))
+    alike = F.bit_count(F.col("first").bitwiseXOR(F.col("second"))) <= round(64 * FIRST_SHARE)
+    met = single.withColumnRenamed("id", "a").join(again, "key").filter((F.col("a") < F.col("b")) & alike).select("a", "b").distinct()
     other = values.select(F.col("id").alias("b"), *(F.col(c).alias(f"other_{c}") for c in names))
     pairs = written(
         met.join(values.select(F.col("id").alias("a"), *names), "a").join(other, "b").filter(differing(names) <= distance).select("a", "b"),
