@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import gc
 import math
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -86,3 +88,23 @@ def positions(df: DataFrame, keys: list[str], chunk: Column, order: list[Column]
     numbered = rows.withColumn("_within", within)
     return numbered.join(offsets, [*keys, "_chunk"]).withColumn(name, F.col("_before") + F.col("_within")).drop(
         "_chunk", "_before", "_within")
+
+
+def numbered(rows: DataFrame, group: list[str], order: list[str], purpose: str) -> DataFrame:
+    """Add ``tree`` (a number for each group, ascending with it), ``pos`` (the row's place from 0 within its group) and ``n`` (its size).
+
+    ``order`` must tell all rows of a group apart. Rows are range-partitioned by (group, order), so a large group is spread over many
+    tasks; a written table with one row per group and partition carries how many rows came before. Nulls sort first.
+    """
+    sorted_ = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    kept = written(sorted_.withColumn("_at", F.monotonically_increasing_id()), purpose, compression="zstd")
+    part = F.shiftright("_at", 33)
+    runs = kept.groupBy(*(F.col(c).alias(f"_{c}") for c in group), part.alias("_part")).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*(f"_{c}" for c in group))
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = written(runs.select(
+        "*", F.min("_first").over(whole).alias("tree"), F.sum("_n").over(whole).alias("n"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).drop("_n"), f"{purpose}-runs")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group], part == F.col("_part"))
+    return kept.join(runs, same).withColumn("pos", F.col("_at") - F.col("_first") + F.col("_before")).select(*rows.columns, "tree", "pos", "n")
