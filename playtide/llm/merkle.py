@@ -104,7 +104,7 @@ def _paths(names: list[str]):
     """Siblings to the left and right of each node of a subtree, level by level, followed by those of the subtree itself."""
     def run(below: pa.Table, above: pa.Table) -> pa.Table:
         below = below.take(np.argsort(below["pos"].to_numpy()))
-        levels = interior(below["hash"].to_pylist(), below["n"][0].as_py())
+        levels = interior(below["hash"].to_pylist(), below["n"][0].as_py() if len(below) else 0)
         more_left, more_right = above["lefts"][0].as_py(), above["rights"][0].as_py()
         sides = []
         for nodes in levels[:-1]:
@@ -126,7 +126,7 @@ def _prove(levels: list[DataFrame], tops: DataFrame, wanted: DataFrame | None) -
     paths = None
     for k in reversed(range(len(levels))):
         nodes = levels[k]
-        if k == 0 and wanted is not None:
+        if k == 0 and wanted is not None:  # the other subtrees stay unread
             hit = nodes.join(wanted, "key", "left_semi").select("tree", F.floor(F.col("pos") / BLOCK).alias("_block")).distinct()
             nodes = nodes.withColumn("_block", F.floor(F.col("pos") / BLOCK)).join(hit, ["tree", "_block"], "left_semi").drop("_block")
         found = nodes.filter("n = 1").join(tops, "tree").select(*nodes.columns, "lefts", "rights", "subroot", "root")
