@@ -130,7 +130,7 @@ def test_hot_conversation_and_edges(spark):
 
 
 def test_dropped_and_null_rows(spark, tmp_path):
-    rows = [(c, t, r, x) for c in range(40) for t, r, x in ((0, "user", "q?"), (1, "assistant", "a.")) if c % 2 or t == 0] + [(None, None, None, None)]
+    rows = [(c, t, r, x) for c in range(300) for t, r, x in ((0, "user", "q?"), (1, "assistant", "a.")) if c % 2 or t == 0] + [(None, None, None, None)]
     frame(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
     got = {r.conv_id: tuple(r)[1:] for r in repair.op12_conversation_repair(spark, str(tmp_path)).collect()}
     nothing = (0, 0, 0, 0, 0, 0, "", sha256().hexdigest())
