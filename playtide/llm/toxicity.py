@@ -25,7 +25,7 @@ CONFIRMED, UNLABELLED, TERMS = 3000, 9000, 1024
 #: Share of toxic texts where the labels do not tell it.
 PRIOR = 0.1
 #: Bytes of a word's beginnings, and fewest confirmed texts with a term.
-BEGINNINGS, LEAST = (4, 5, 6), 3
+BEGINNINGS, LEAST = (4, 5, 6, 7, 8), 3
 #: Training rounds, step size, weight decay.
 ROUNDS, STEP_SIZE, DECAY = 400, 0.05, 1e-4
 CUT = 0.5
@@ -91,7 +91,7 @@ def chosen_terms(sample: DataFrame, n_confirmed: int, n_unlabelled: int, most: i
         F.count_if("confirmed").alias("p"), F.count_if(~F.col("confirmed")).alias("u")).filter(F.col("p") >= min(LEAST, n_confirmed))
     p, u = F.col("p") / max(n_confirmed, 1), (F.col("u") + 1) / (n_unlabelled + 2)
     above = (p - u) / F.sqrt(u * (1 - u) * (1 / max(n_confirmed, 1) + 1 / (n_unlabelled + 2)))
-    best = counts.withColumn("above", above).filter("above > 3").orderBy(F.desc("above"), "term").limit(most)
+    best = counts.withColumn("above", above).filter("above > 5").orderBy(F.desc("above"), "term").limit(most)
     return [bytes(r["term"]) for r in best.select("term").collect()]
 
 
