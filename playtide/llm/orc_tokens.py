@@ -13,54 +13,61 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playtide.llm.common import block_count, ranges, sliced, table, texts
+from playtide.llm.common import block_count, ranges, table
 from playtide.llm.units import UnitTable, in_a_row
-from playtide.session import work_path
+from playtide.session import work_path, written
 
 #: Id appended to each document.
 END_ID = 0
 #: Text bytes of a file, and of a step within a task.
 FILE_BYTES, STEP_BYTES = 16 << 20, 2 << 20
 #: Units encoded at once.
-JOINED = 1000
+JOINED = 100
 OPTIONS = {
     "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.row.index.stride": "1000", "orc.create.index": "true",
-    "orc.stripe.size": str(8 << 20), "compression": "zstd",
+    "orc.stripe.size": str(4 << 20), "orc.rows.between.memory.checks": "500", "compression": "zstd",
 }
-SCHEMA = "doc_id long, part int, ids array<int>"
+SCHEMA = "doc_id long, part int, place long, ids array<int>"
 
 
 class ByteTokenizer:
-    """A byte-level tokenizer file, applied unit by unit: its pattern never joins a blank to a character before it that is not white space."""
+    """A byte-level tokenizer file, applied unit by unit: its pattern never joins a blank to a character before it that is not white space.
+
+    Arrow splits most texts at their blanks and numbers the distinct words of a step; only those are looked up, and only new ones
+    encoded. A word stands for itself with a blank in front. Texts with white space before a blank, or with one of the tokenizer's added
+    tokens, which the library cuts out first, are split one by one.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         # A token's text has one character for each of its bytes.
         self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.bytes_of[number] = len(token)
         self.blank = re.compile(r"(?<=\S)(?= )")
-        self.table = UnitTable(self.units, self.encode_many)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(f"({'|'.join(map(re.escape, added))})") if added else None
+        # All that is white space to any of the libraries at hand, before a blank.
+        self.special = "|".join([r"[\p{Z}\t-\r\x1c-\x1f\x{85}] ", *(re.escape(t) for t in added)])
+        self.table = UnitTable(lambda text: [text], self.encode_many)
 
     def units(self, text: str) -> list[str]:
-        words = text.split(" ")
-        if "" in words or re.search(r"\s ", text):
-            return self.blank.split(text)
-        return [words[0], *(" " + w for w in words[1:])]
+        parts = self.added.split(text) if self.added else [text]
+        return [u for i, part in enumerate(parts) for u in ([part] if i % 2 else self.blank.split(part))]
 
     def encode_many(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Units that begin with a blank and end without white space keep their borders when joined, so many are encoded at once;
         the tokens' lengths in bytes tell where each unit ends. The others are encoded one by one."""
         lengths = np.zeros(len(units), np.int64)
-        joined = np.array([u[0] == " " and not u[-1].isspace() if u else False for u in units], bool)
+        joined = np.array([u[:1] == " " and not u[-1].isspace() for u in units], bool)
         parts: list[np.ndarray] = []
         places = np.nonzero(joined)[0]
         for i in range(0, len(places), JOINED):
@@ -77,6 +84,33 @@ class ByteTokenizer:
         firsts[order] = np.cumsum(lengths[order]) - lengths[order]
         return flat[ranges(firsts, lengths)], lengths
 
+    def encode(self, docs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some texts (no nulls) in a row, and how many each has."""
+        table = self.table
+        table.forget()
+        index, known = table.index, len(table.index)
+        odd = pc.match_substring_regex(docs, self.special)
+        split = pc.split_pattern(docs.filter(pc.invert(odd)), " ")
+        counts = np.diff(split.offsets.to_numpy())
+        words = pc.dictionary_encode(split.flatten())
+        # The first word of a text has no blank in front.
+        firsts = np.cumsum(counts) - counts
+        numbers = np.fromiter((index[" " + w] for w in words.dictionary.to_pylist()), np.int64)
+        flat = numbers[words.indices.to_numpy()]
+        flat[firsts] = [index[w] for w in words.take(pa.array(firsts)).to_pylist()]
+        units = [self.units(x) for x in docs.filter(odd).to_pylist()]
+        flat = np.concatenate([flat, np.fromiter((index[u] for x in units for u in x), np.int64)])
+        table.learn(known)
+        ids, lengths = table.tokens(flat, np.concatenate([[0], np.cumsum([*counts, *(len(x) for x in units)])]).astype(np.int64))
+        if not units:
+            return ids, lengths
+        # Back to the order of the texts.
+        mask = odd.to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.nonzero(~mask)[0], np.nonzero(mask)[0]])
+        starts, counts = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
+        starts[order], counts[order] = np.cumsum(lengths) - lengths, lengths
+        return ids[ranges(starts, counts)], counts
+
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str) -> ByteTokenizer:
@@ -85,34 +119,54 @@ def tokenizer(path: str) -> ByteTokenizer:
 
 def _encoded(path: str, end: int):
     def run(batches):
-        known = tokenizer(path)
+        known, place = tokenizer(path), 0
         for batch in batches:
-            docs = texts(batch["text"])
-            for part in sliced(docs, STEP_BYTES):
-                ids, lengths = known.table.encode([x.decode() for x in docs[part]])
+            column = pc.fill_null(batch["text"], "")
+            for part in sliced_lengths(pc.binary_length(column).to_numpy(zero_copy_only=False), STEP_BYTES):
+                count = part.stop - part.start
+                ids, lengths = known.encode(column.slice(part.start, count))
                 borders = np.concatenate([[0], np.cumsum(lengths + 1)])
                 out = np.full(borders[-1], end, np.int32)
                 body = np.ones(borders[-1], bool)
                 body[borders[1:] - 1] = False
                 out[body] = ids
-                slice_ = [batch[c].slice(part.start, part.stop - part.start) for c in ("doc_id", "part")]
-                yield pa.record_batch([*slice_, pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(out))], ["doc_id", "part", "ids"])
+                slice_ = [batch[c].slice(part.start, count) for c in ("doc_id", "part")]
+                yield pa.record_batch(
+                    [*slice_, pa.array(np.arange(place, place + count)), pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(out))],
+                    ["doc_id", "part", "place", "ids"])
+                place += count
 
     return run
 
 
+def sliced_lengths(lengths: np.ndarray, most: int) -> list[slice]:
+    """Runs of whole texts of at most ``most`` bytes (or one text), to bound a step's memory."""
+    out, start, size = [], 0, 0
+    for i, n in enumerate(lengths):
+        if size and size + n > most:
+            out.append(slice(start, i))
+            start, size = i, 0
+        size += n
+    return [*out, slice(start, len(lengths))] if start < len(lengths) else out
+
+
 def write_tokens(
-    docs: DataFrame, path: str, model: str, end: int = END_ID, doc_id: str = "doc_id", text: str = "text",
+    docs: DataFrame, path: str, model: str, end: int = END_ID, doc_id: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES,
+    **options: str,
 ) -> None:
-    """Encode every text by the tokenizer file ``model``, append ``end``, and write ORC below ``path``.
+    """Encode every text by the tokenizer file ``model``, as the library does when it is loaded, append ``end``, and write ORC below ``path``.
 
-    Files hold ascending ranges of doc_id, numbered by the column part; rows of one id follow by text. A null text counts as empty and
-    a null id sorts first. Repeated rows are written each; other columns are not read; an empty table writes no rows.
+    Files hold ascending ranges of doc_id, numbered by the column part; ``place`` numbers a file's rows. Rows of one id follow by a hash of
+    their text, so one id may fill many files. A null text counts as empty and a null id sorts first. Repeated rows are written
+    each; other columns are not read; an empty table writes no rows. ``options`` go to the writer.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    files = block_count(rows, F.col("text"), FILE_BYTES)
-    ranged = rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
-    ranged.withColumn("part", F.spark_partition_id()).mapInArrow(_encoded(model, end), SCHEMA).write.options(**OPTIONS).orc(path)
+    files = block_count(rows, F.col("text"), file_bytes)
+    order = ["doc_id", "_hash", "text", "_row"]
+    told = rows.withColumns({"_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
+    ranged = told.repartitionByRange(files, "doc_id", "_hash", "_row").sortWithinPartitions(*order)
+    parts = ranged.select("doc_id", F.spark_partition_id().alias("part"), "text")
+    parts.mapInArrow(_encoded(model, end), SCHEMA).write.options(**{**OPTIONS, **options}).orc(path)
 
 
 def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
@@ -127,20 +181,20 @@ def _measured(batches):
         borders, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype("<u4")
         crc = [zlib.crc32(flat[a:b]) for a, b in zip(borders[:-1], borders[1:])]
         yield pa.record_batch([
-            batch["doc_id"], batch["part"], pa.array(np.diff(borders).astype(np.int64)), pa.array(crc, pa.int64())],
-            ["doc_id", "part", "n_tokens", "ids_crc32"])
+            batch["doc_id"], batch["part"], batch["place"], pa.array(np.diff(borders).astype(np.int64)), pa.array(crc, pa.int64())],
+            ["doc_id", "part", "place", "n_tokens", "ids_crc32"])
 
 
 def token_index(tokens: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32, read from the written rows.
+    """doc_id, start (ids of all rows before it in the files), n_tokens and ids_crc32, read from the written rows.
 
     Each file's lengths are summed on their own; a table with one row per file carries what came before.
     """
-    rows = tokens.mapInArrow(_measured, "doc_id long, part int, n_tokens long, ids_crc32 long")
+    rows = written(tokens.mapInArrow(_measured, "doc_id long, part int, place long, n_tokens long, ids_crc32 long"), "token-lengths")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     offsets = sums.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("part").orderBy("doc_id", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("inner", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(offsets, "part").select(
         "doc_id", (F.col("offset") + F.col("inner")).alias("start"), "n_tokens", "ids_crc32")
 

@@ -6,12 +6,9 @@ thresholds t_i >= -1 with sum(t_i) = distance - partitions + 1, two linked finge
 from the value counts of each partition; the number of partitions is chosen by the same cost. Then every distinct fingerprint is
 probed with the values of up to t_i changed bits, and candidates are verified on all bits.
 
-Two operators share this. ``near_duplicates`` links 64-bit fingerprints within 2 bits, without exception: a partition value that many
-distinct fingerprints share is not paired; its members are linked through midpoints (two fingerprints are within 2 bits if and only if they
-share a value within 1 bit of both, so 65 values for each member replace the pairs). ``similar_groups`` takes 512 bits, of which
-a Jaccard similarity of 0.8 leaves about 77 different, and only looks for candidates with them: the bits are dealt to partitions anew
-several times, and what shares a partition's value and differs in at most a quarter of the bits is compared by its exact sets of
-shingles. Members of crowded values are compared block by block, and each block sends only a spanning forest of its links.
+Fingerprints link without exception: a partition value that many distinct fingerprints share is not paired; its members are linked
+through midpoints (two fingerprints are within 2 bits if and only if they share a value within 1 bit of both, so 65 values for each
+member replace the pairs). ``near_duplicates`` names the components, ``one_of_each`` keeps one document of each.
 """
 
 from __future__ import annotations
@@ -27,22 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from playtide.llm.common import LOWER, positions, release_memory, table, tagged, texts
+from playtide.llm.common import LOWER, release_memory, table, tagged, texts
 from playtide.llm.components import connected_components
 from playtide.session import written
 
 SEED = 42
 #: A partition value with more distinct fingerprints than this is linked through midpoints.
 MOST_PAIRED = 50
-#: How often wide fingerprints are dealt to partitions; each time finds most of the pairs that the others miss.
-DEALINGS = 3
-#: Share of differing bits up to which wide fingerprints are candidates (0.15 on average at a similarity of 0.8, 0.5 by chance), and
-#: the share up to which the first 64 bits are enough to look further (over 5 standard deviations above the average at 0.8).
-WIDE_SHARE, FIRST_SHARE = 1 / 4, 13 / 32
-#: Members of a block of a crowded value.
-PAIR_BLOCK = 1024
-#: Shingles whose bits are unpacked at once, and fingerprints whose keys are sent at once.
-STEP, KEY_STEP = 1 << 15, 1 << 9
+#: Shingles whose bits are unpacked at once.
+STEP = 1 << 15
 
 #: A column of 64 bits and some of its bits.
 Group = tuple[str, list[int]]
@@ -63,35 +53,25 @@ def shingle_hashes(text: bytes, words: int) -> np.ndarray:
         (xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, ends[words - 1:])), np.uint64, len(split) - words + 1)
 
 
-def majority(hashes: np.ndarray, salts: int = 1) -> np.ndarray:
-    """``salts`` words of 64 bits, each bit set if more than half the (salted) hashes have it."""
-    out = np.zeros(salts, np.uint64)
-    for k in range(salts):
-        ones = np.zeros(64, np.int64)
-        for i in range(0, len(hashes), STEP):
-            part = hashes[i:i + STEP]
-            if k:  # a multiplicative mix gives further independent bits of the same shingle
-                part = (part ^ (part >> np.uint64(29))) * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) & (2**64 - 1))
-                part = part ^ (part >> np.uint64(32))
-            ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out[k] = np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
-    return out
-
+def majority(hashes: np.ndarray) -> np.uint64:
+    """64 bits, each set if more than half the hashes have it."""
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(hashes), STEP):
+        ones += _bits(hashes[i:i + STEP]).sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
 
-def fingerprints(docs: DataFrame, keys: list[str], text: str, words: int, salts: int = 1) -> DataFrame:
-    """The key columns and w0, w1, …: 64 bits each, in a long; a text without words has zeros."""
-    names = [f"w{k}" for k in range(salts)]
 
+def fingerprints(docs: DataFrame, keys: list[str], text: str, words: int) -> DataFrame:
+    """The key columns and w0: 64 bits in a long; a text without words has zeros."""
     def run(batches):
         for batch in batches:
-            found = np.array([majority(shingle_hashes(x, words), salts) for x in texts(batch["_text"])], np.uint64).reshape(-1, salts)
-            yield pa.record_batch(
-                [*(batch[k] for k in keys), *(pa.array(found[:, k].copy().view(np.int64)) for k in range(salts))], [*keys, *names])
+            found = np.array([majority(shingle_hashes(x, words)) for x in texts(batch["_text"])], np.uint64)
+            yield pa.record_batch([*(batch[k] for k in keys), pa.array(found.view(np.int64))], [*keys, "w0"])
         release_memory()
 
     rows = docs.select(*keys, F.col(text).alias("_text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    return rows.mapInArrow(run, ", ".join([*fields, *(f"{n} long" for n in names)]))
+    return rows.mapInArrow(run, ", ".join([*fields, "w0 long"]))
 
 
 def _bits(column: np.ndarray) -> np.ndarray:
@@ -244,145 +224,20 @@ def near_duplicates(
         "doc_id", F.lower(F.lpad(F.hex("w0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def dealt(salts: int, parts: int) -> list[np.ndarray]:
-    """Orders of all bits; runs of 64 / ``parts`` bits in each are its partitions."""
-    rng = np.random.default_rng(SEED)
-    return [rng.permutation(64 * salts) for _ in range(DEALINGS)]
-
-
-def partition_keys(prints: np.ndarray, orders: list[np.ndarray], parts: int) -> np.ndarray:
-    """A row of keys for each row of 64-bit words: in each order, the number and the value of each partition."""
-    width = 64 // parts
-    bits = _bits(np.ascontiguousarray(prints).reshape(-1)).reshape(len(prints), -1)
-    weights = np.int64(1) << np.arange(width, dtype=np.int64)
-    values = np.concatenate([bits[:, order].reshape(len(bits), -1, width) @ weights for order in orders], axis=1)
-    return (np.arange(values.shape[1], dtype=np.int64) << width) | values
+def one_of_each(docs: DataFrame, words: int = 3, distance: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without all but one document of each component: the one of smallest doc_id.
 
-
-def wide_keys(values: DataFrame, names: list[str], orders: list[np.ndarray], parts: int) -> DataFrame:
-    """key, id and first (64 bits) for each partition of each (id, fingerprint)."""
-    def run(batches):
-        for batch in batches:
-            for i in range(0, len(batch), KEY_STEP):
-                part = batch.slice(i, KEY_STEP)
-                keys = partition_keys(np.stack([part[c].to_numpy(zero_copy_only=False) for c in names], 1), orders, parts)
-                yield pa.record_batch([
-                    pa.array(keys.ravel()), pa.array(np.repeat(part["id"].to_numpy(), keys.shape[1])),
-                    pa.array(np.repeat(part[names[0]].to_numpy(), keys.shape[1]))], ["key", "id", "first"])
-        release_memory()
-
-    return values.select("id", *names).mapInArrow(run, "key long, id long, first long")
-
-
-def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """id and the sorted distinct shingle hashes of (id, text) rows."""
-    def run(batches):
-        for batch in batches:
-            found = [np.unique(shingle_hashes(x, words).view(np.int64)) for x in texts(batch["text"])]
-            yield pa.record_batch([batch["id"], pa.array(found, pa.list_(pa.int64()))], ["id", "hashes"])
-        release_memory()
-
-    return rows.select("id", "text").mapInArrow(run, "id long, hashes array<long>")
-
-
-def _forest(names: list[str], distance: int, similarity: float, orders: list[np.ndarray], parts: int):
-    """Links within a pair of blocks, as far as they join what is still apart.
-
-    A pair is compared only under the first of the keys it shares, so once in all.
-    """
-    def run(rows: pa.Table) -> pa.Table:
-        ids = rows["id"].to_numpy()
-        prints = np.stack([rows[c].to_numpy() for c in names], 1)
-        keys = partition_keys(prints, orders, parts)
-        here = int(rows["key"][0].as_py() >> (64 // parts))
-        prints = prints.view(np.uint64)
-        sets = [np.asarray(x, np.int64) for x in rows["hashes"].combine_chunks().to_numpy(zero_copy_only=False)]
-        sizes = np.array([len(x) for x in sets])
-        parent = np.arange(len(ids))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        edges = []
-        for i in range(len(ids) - 1):
-            near = np.nonzero(np.bitwise_count(prints[i + 1:] ^ prints[i]).sum(1, dtype=np.int64) <= distance)[0] + i + 1
-            near = near[(parent[near] != parent[i]) & (sizes[near] > 0)] if sizes[i] else near[:0]
-            near = near[(keys[near] == keys[i]).argmax(1) == here]
-            if not len(near):
-                continue
-            flat = np.concatenate([sets[j] for j in near])
-            found = sets[i][np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)] == flat
-            both = np.add.reduceat(found.astype(np.int64), np.cumsum(sizes[near]) - sizes[near])
-            for j in near[both / (sizes[i] + sizes[near] - both) >= similarity]:
-                a, b = root(i), root(int(j))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    edges.append((ids[i], ids[j]))
-        return pa.table({"a": pa.array([a for a, _ in edges], pa.int64()), "b": pa.array([b for _, b in edges], pa.int64())})
-
-    return run
-
-
-def wide_links(
-    values: DataFrame, docs: DataFrame, names: list[str], words: int, similarity: float, parts: int = 4, most_paired: int = MOST_PAIRED,
-) -> DataFrame:
-    """Edges (a, b) between ids of distinct wide fingerprints whose sets of shingles have at least this Jaccard similarity.
-
-    ``docs`` has the text of each id. Keys that more than ``most_paired`` ids share (or four times the ids that share one by chance)
-    are crowded.
-    """
-    distance, orders = round(64 * len(names) * WIDE_SHARE), dealt(len(names), parts)
-    most_paired = max(most_paired, 4 * values.count() >> (64 // parts))
-    keys = written(wide_keys(values, names, orders, parts), "similar-keys", compression="zstd")
-    crowded = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most_paired).select("key"), "similar-crowded")
-    single = keys.join(crowded, "key", "left_anti")
-    again = single.select("key", F.col("id").alias("b"), F.col("first").alias("second"))
-    alike = F.bit_count(F.col("first").bitwiseXOR(F.col("second"))) <= round(64 * FIRST_SHARE)
-    met = single.withColumnRenamed("id", "a").join(again, "key").filter((F.col("a") < F.col("b")) & alike).select("a", "b").distinct()
-    other = values.select(F.col("id").alias("b"), *(F.col(c).alias(f"other_{c}") for c in names))
-    pairs = written(
-        met.join(values.select(F.col("id").alias("a"), *names), "a").join(other, "b").filter(differing(names) <= distance).select("a", "b"),
-        "similar-pairs")
-    members = written(keys.join(crowded, "key", "left_semi").select("key", "id"), "similar-members", compression="zstd")
-    asked = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(members.select("id")).distinct()
-    sets = written(shingle_sets(docs.join(asked, "id", "left_semi"), words), "similar-sets")
-    both = F.size(F.array_intersect("hashes", "other_hashes"))
-    verified = pairs.join(sets.withColumnRenamed("id", "a"), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("hashes").alias("other_hashes")), "b").filter(
-        both / (F.size("hashes") + F.size("other_hashes") - both) >= similarity).select("a", "b")
-    members = positions(members, ["key"], F.pmod(F.xxhash64("id"), F.lit(64)), [F.col("id")], "place")
-    block = F.floor(F.col("place") / PAIR_BLOCK).cast("int")
-    last = members.groupBy("key").agg(F.max(block).alias("last"))
-    # Every block meets every other: a row goes to as many pairs of blocks as its value has blocks.
-    sent = members.withColumn("block", block).join(last, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    sent = sent.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id").join(
-        values.select("id", *names), "id").join(sets, "id")
-    forests = sent.groupBy("key", "x", "y").applyInArrow(_forest(names, distance, similarity, orders, parts), "a long, b long")
-    return verified.union(forests).distinct()
-
-
-def similar_groups(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, salts: int = 8, doc_id: str = "doc_id", text: str = "text",
-) -> DataFrame:
-    """``docs`` without all but one document of each group of near-duplicates: the one of smallest doc_id.
-
-    Documents link if their sets of ``words``-word shingles have at least this Jaccard similarity; fingerprints of ``salts`` x 64 bits find
-    the candidates. A null text counts as empty; texts without words are one group. Of rows that share the smallest doc_id one stays;
-    a null doc_id stays only in a group that has no other. All columns are returned as they came; an empty table stays empty.
+    Components are those of :func:`near_duplicates`; texts without words are one. Of rows that share the smallest doc_id one stays; a
+    null doc_id stays only in a component that has no other. All columns are returned as they came; an empty table stays empty.
     """
-    names = [f"w{k}" for k in range(salts)]
-    rows = tagged(docs, "similar-rows")
-    prints = written(fingerprints(rows.withColumn("_id", F.col(doc_id)), ["_row", "_id"], text, words, salts), "similar-prints")
+    rows = tagged(docs, "simhash-rows")
+    prints = fingerprints(rows.withColumn("_id", F.col(doc_id)), ["_row", "_id"], text, words)
     best = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row"))).alias("best")
-    values = written(prints.groupBy(*names).agg(best).withColumn("id", F.monotonically_increasing_id()), "similar-values")
-    held = rows.select("_row", F.col(text).alias("text")).join(values.select("id", F.col("best.row").alias("_row")), "_row")
-    roots = written(connected_components(wide_links(values.select("id", *names), held, names, words, similarity)), "similar-roots")
-    kept = values.join(roots, values["id"] == roots["node"], "left").groupBy(F.coalesce("root", "id").alias("group")).agg(
+    values = written(prints.groupBy("w0").agg(best), "simhash-values")
+    roots = written(connected_components(links(values.select("w0"), distance)), "simhash-roots")
+    kept = values.join(roots, values["w0"] == roots["node"], "left").groupBy(F.coalesce("root", "w0").alias("group")).agg(
         F.min("best").alias("best")).select(F.col("best.row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    return rows.join(written(kept, "simhash-kept"), "_row", "left_semi").select(*docs.columns)
 
 
 def op3_simhash_near_dedup(spark, folder: str) -> DataFrame:

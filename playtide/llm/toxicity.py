@@ -70,11 +70,17 @@ class Terms:
         return out
 
 
-def _sampled(rows: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` of the rows (id, text), the least by a hash of both; a bound on the hash leaves few to be sorted."""
-    draw = F.pmod(F.xxhash64(F.lit("draw"), "id", "text"), F.lit(1 << 30))
-    bound = min(1.0, (1.2 * most + 200) / max(rows.count(), 1))
-    return rows.withColumn("_draw", draw).filter(F.col("_draw") < int(bound * (1 << 30))).orderBy("_draw", "id", "text").limit(most).drop("_draw")
+def _sampled(rows: DataFrame, most: int, among: DataFrame | None = None) -> DataFrame:
+    """At most ``most`` of the distinct rows (id, text), the least by a hash of both; ``among`` has the ids to choose from.
+
+    The hashes are drawn first, without the texts; a bound on them leaves few to be sorted.
+    """
+    rows = rows.withColumn("_draw", F.shiftrightunsigned(F.xxhash64(F.lit("draw"), "id", "text"), 1))
+    draws = rows.select("id", "_draw") if among is None else rows.select("id", "_draw").join(among, "id", "left_semi")
+    bound = min(1.0, (1.2 * most + 200) / max(draws.count(), 1))
+    least = draws.filter(F.col("_draw") <= min(int(bound * 2**20) << 43, 2**63 - 1)).select("_draw").distinct().orderBy("_draw").limit(most)
+    picked = rows.join(F.broadcast(written(least, "toxic-draws")), "_draw", "left_semi")  # at most ``most`` numbers
+    return picked.groupBy("_draw").agg(F.first("id").alias("id"), F.first("text").alias("text")).drop("_draw")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +150,7 @@ def fit(
     marks = labels.filter(F.col(label).isin(0, 1)).select(F.col(doc_id).alias(doc_id), F.col(label).alias("mark")).filter(learn)
     marks = written(marks.groupBy(F.col(doc_id).alias("id")).agg(F.max("mark").alias("mark")).filter("id is not null"), "toxic-labels")
     rows = docs.filter(learn).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("text is not null")
-    confirmed = _sampled(rows.join(marks.filter("mark = 1").select("id"), "id", "left_semi"), most_confirmed)
+    confirmed = _sampled(rows, most_confirmed, marks.filter("mark = 1").select("id"))
     sample = written(confirmed.withColumn("confirmed", F.lit(True)).union(_sampled(rows, most_unlabelled).withColumn("confirmed", F.lit(False))), "toxic-sample")
     sizes = {r["confirmed"]: r["count"] for r in sample.groupBy("confirmed").count().collect()}
     if not sizes.get(True) or not sizes.get(False):

@@ -72,7 +72,7 @@ def test_words_and_terms():
 def test_edge_rows(spark, make_docs, labelled):
     rows = [*EDGES, *((100 + i, "you idiot " + "word " * (i % 7)) for i in range(60)), *((300 + i, "fine words here " * (1 + i % 5)) for i in range(300))]
     docs = make_docs(rows)
-    marks = [(100 + i, 1) for i in range(60)] + [(300 + i, 0) for i in range(60)] + [(100, 0), (None, 1), (1, None), (6, 0)]
+    marks = [(100 + i, 1) for i in range(60)] + [(300 + i, 0) for i in range(300)] + [(100, 0), (None, 1), (1, None), (6, 0)]
     labels = spark.createDataFrame(marks if labelled else [], "doc_id long, toxic int")
     got = toxicity.score(docs, labels, fold(F.col("doc_id")) != 0)
     assert got.columns == docs.columns and got.count() == len(rows)
@@ -89,4 +89,5 @@ def test_edge_rows(spark, make_docs, labelled):
 def test_sample_is_bounded(spark, make_docs):
     docs = make_docs([(1, f"same id {i}") for i in range(500)]).select(F.col("doc_id").alias("id"), "text")
     assert toxicity._sampled(docs, 40).count() == 40
-    assert toxicity._sampled(docs, 40).collect() == toxicity._sampled(docs.repartition(7), 40).collect()
+    assert sorted(toxicity._sampled(docs, 40).collect()) == sorted(toxicity._sampled(docs.union(docs).repartition(7), 40).collect())
+    assert toxicity._sampled(docs, 40, docs.filter("false").select("id")).count() == 0
