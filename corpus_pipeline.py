@@ -30,9 +30,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies."""
+    """One document of each group that links by fingerprints of three-word shingles within two bits."""
     configure(spark)
-    return simhash.similar_groups(docs)
+    return simhash.one_of_each(docs, words=3, distance=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
