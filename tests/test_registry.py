@@ -1,5 +1,9 @@
 """Every registered query gives the rows of its SQL twin."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import connect, differences
 
@@ -27,3 +31,11 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     assert differences(QUERIES[name](spark, FOLDER), duck, ORACLES[name]) == []
+
+
+def test_optional_packages_may_be_absent():
+    """Without a package that only the operators over documents need, all other queries are still there."""
+    code = (
+        "import sys; sys.modules.update(sentencepiece=None, xxhash=None, tokenizers=None); import __spark_entry__ as e; "
+        "from playtide import catalog; assert set(catalog.queries()) <= set(e.queries()); assert set(catalog.oracles()) <= set(e.oracle_sql())")
+    subprocess.run([sys.executable, "-c", code], cwd=Path(entry_point.__file__).parent, check=True)
