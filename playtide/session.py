@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +81,29 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_OPEN = threading.local()
+
+
+@contextmanager
+def collected() -> Iterator[list[str]]:
+    """The paths of the tables that this thread writes by :func:`written` inside; whoever opens it may drop them once they are used up."""
+    paths: list[str] = []
+    outer = getattr(_OPEN, "paths", None)
+    _OPEN.paths = paths
+    try:
+        yield paths
+    finally:
+        _OPEN.paths = outer
+        if outer is not None:
+            outer.extend(paths)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete one of the library's own folders, wherever it is stored; nothing happens if it is gone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """Write an intermediate result below the shared folder and read it back.
 
@@ -85,5 +111,7 @@ def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     the writer's.
     """
     path = work_path(df.sparkSession, purpose)
+    if getattr(_OPEN, "paths", None) is not None:
+        _OPEN.paths.append(path)
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
