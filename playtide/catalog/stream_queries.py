@@ -9,7 +9,7 @@ from playtide.operators import ingest, rollups
 from playtide.schema import ALERT_FACT_SCHEMA, SESSION_FACT_SCHEMA
 from playtide.session import work_path
 from playtide.sources import star_tables, tables
-from playtide.streaming import carried, jobs, rules
+from playtide.streaming import carried, jobs, metrics, rules
 
 
 DAY_MS = 86_400_000
@@ -27,14 +27,18 @@ def _written(t: Tables, stream: DataFrame, purpose: str) -> DataFrame:
     return t.spark.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-def _shuffled_files(t: Tables, rows: DataFrame, files: int = 3) -> DataFrame:
-    """A stream over some files of rows, one file a micro-batch: times ascend from file to file, not within one."""
+FILES = 4
+
+
+def _shuffled_files(t: Tables, rows: DataFrame, parts: int = 3) -> DataFrame:
+    """A stream over some parts of rows, one part a micro-batch: times ascend from part to part, not within one."""
     path = work_path(t.spark, "arrivals")
-    days = rows.select(F.floor(F.col("timestamp") / DAY_MS).alias("_day")).distinct().withColumn("_part", F.ntile(files).over(Window.orderBy("_day")))
+    days = rows.select(F.floor(F.col("timestamp") / DAY_MS).alias("_day")).distinct().withColumn("_part", F.ntile(parts).over(Window.orderBy("_day")))
     split = rows.withColumn("_day", F.floor(F.col("timestamp") / DAY_MS)).join(days, "_day")
-    for part in range(1, files + 1):
-        split.filter(F.col("_part") == part).drop("_day", "_part").orderBy(F.xxhash64("event_id")).coalesce(1).write.parquet(f"{path}/p{part}")
-    reader = t.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+    for part in range(1, parts + 1):
+        own = split.filter(F.col("_part") == part).drop("_day", "_part").repartition(FILES)
+        own.sortWithinPartitions(F.xxhash64(*rows.columns)).write.parquet(f"{path}/p{part}")
+    reader = t.spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", FILES)
     return reader.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
@@ -136,20 +140,23 @@ def _stream_ingest(t: Tables) -> DataFrame:
     return outcomes.groupBy("outcome").agg({"*": "count"}).withColumnRenamed("count(1)", "n")
 
 
-def _parts(t: Tables, summarise, purpose: str, stream: DataFrame) -> DataFrame:
+def _parts(t: Tables, summarise, merge, purpose: str, stream: DataFrame) -> DataFrame:
     root = work_path(t.spark, purpose)
-    jobs.start_partials(stream, summarise, f"{root}/parts", f"{root}/checkpoint", available_now=True).awaitTermination()
-    return jobs.read_parts(t.spark, f"{root}/parts")
+    table = jobs.parts_table(stream, summarise, f"{root}/parts", merge)
+    jobs.start_parts(stream, summarise, table, f"{root}/checkpoint", available_now=True).awaitTermination()
+    return table.read()
 
 
+_DAILY, _STAGE = ["day", "user_key", "mode"], ["mode", "stage_id"]
+
 query("stream_daily_summary", "SELECT day_text AS day, user_key, mode, clears, fails FROM daily")(
     lambda t: rollups.sum_parts(
-        _parts(t, rollups.daily_user_summary, "daily", ingest.only_version(_events_stream(t))), ["day", "user_key", "mode"]
+        _parts(t, rollups.daily_user_summary, rollups.added_up(_DAILY), "daily", ingest.only_version(_events_stream(t))), _DAILY
     )
 )
 query("stream_stage_difficulty", "SELECT mode, stage_id, clears, attempts, clear_ms, timed_clears FROM stage")(
     lambda t: rollups.sum_parts(
-        _parts(t, rollups.stage_difficulty, "stages", ingest.only_version(_events_stream(t))), ["mode", "stage_id"]
+        _parts(t, rollups.stage_difficulty, rollups.added_up(_STAGE), "stages", ingest.only_version(_events_stream(t))), _STAGE
     )
 )
 
@@ -159,5 +166,66 @@ def _stream_latest(t: Tables) -> DataFrame:
     """Parts keep deletes, so that a delete in a later part still counts."""
     key, version = ["user_key"], ["timestamp", "event_id"]
     changes = star_tables.user_changes(ingest.only_version(_events_stream(t)))
-    parts = _parts(t, lambda batch: rollups.latest_by_key(batch, key, version, op=None), "latest", changes)
-    return rollups.latest_by_key(parts, key, version)
+    merge = rollups.latest_of(key, version, DAY_MS)
+    return rollups.latest_by_key(_parts(t, lambda batch: rollups.latest_by_key(batch, key, version, op=None), merge, "latest", changes), key, version)
+
+
+@query(
+    "stream_daily_summary_corrected",
+    """SELECT day_text AS day, user_key, mode, clears, fails FROM (SELECT CAST(to_timestamp("timestamp" / 1000) AT TIME ZONE 'UTC' AS DATE)::VARCHAR AS day_text,
+user_key, mode, count(*) FILTER (event_type = 'stage_clear') AS clears, count(*) FILTER (event_type = 'stage_fail') AS fails
+FROM ev WHERE right(event_id, 1) NOT IN ('1', '7') GROUP BY 1, 2, 3)""",
+)
+def _stream_daily_corrected(t: Tables) -> DataFrame:
+    """Events whose id ends in 1 or 7 are taken back in a later micro-batch; rows without any event left are gone."""
+    bad = F.substring("event_id", -1, 1).isin("1", "7")
+    last = t.current.agg(F.max("timestamp")).first()[0]
+    added = t.current.withColumn("sign", F.lit(1)).withColumn("event_ms", F.col("timestamp"))
+    removed = t.current.filter(bad).withColumn("sign", F.lit(-1)).withColumn("event_ms", F.col("timestamp")).withColumn(
+        "timestamp", F.lit(last) + 8 * DAY_MS)
+    stream = _shuffled_files(t, added.unionByName(removed), 5).withColumn("timestamp", F.col("event_ms"))
+    summarise = lambda rows: rollups.daily_user_summary(rows, F.col("sign"))
+    return rollups.settled(_parts(t, summarise, rollups.added_up(_DAILY), "daily-signed", stream), _DAILY)
+
+
+@query("stream_clustered_clears", """SELECT event_id, user_key, "timestamp" FROM ev WHERE event_type = 'stage_clear'""")
+def _stream_clustered(t: Tables) -> DataFrame:
+    """Clears from the clustered table that a stream keeps up to date; files of other types are not opened."""
+    root = work_path(t.spark, "clustered")
+    table = tables.clustered_events(t.spark, f"{root}/events")
+    stream = _shuffled_files(t, t.current, 10).withColumn("month", tables.month_of("timestamp"))
+    jobs.start_clustering(stream, table, f"{root}/checkpoint", available_now=True).awaitTermination()
+    return table.read("stage_clear").select("event_id", "user_key", "timestamp")
+
+
+@query(
+    "stream_alert_numbers",
+    f"""SELECT user_key, event_id, alert_type, row_number() OVER (PARTITION BY user_key ORDER BY detected_at, event_id,
+CASE alert_type WHEN 'IMPOSSIBLE_CLEAR' THEN 1 WHEN 'RAPID_FIRE' THEN 2 ELSE 3 END) AS alert_no FROM alerts""",
+)
+def _stream_alert_numbers(t: Tables) -> DataFrame:
+    found = t.alerts.withColumn("timestamp", F.col("detected_at"))
+    stream = _shuffled_files(t, found, 4).drop("timestamp")
+    return _carried(t, stream, carried.alert_numbers_rule(), "alert-numbers").select("user_key", "event_id", "alert_type", "alert_no")
+
+
+def _with_metrics(t: Tables, stream: DataFrame, purpose: str) -> str:
+    """Run a stream that observes metrics, and return the folder that keeps them."""
+    root = work_path(t.spark, purpose)
+    listener = metrics.StoredMetrics(t.spark, f"{root}/metrics")
+    t.spark.streams.addListener(listener)
+    try:
+        writer = stream.writeStream.format("noop").option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+        t.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        t.spark.streams.removeListener(listener)
+    return f"{root}/metrics"
+
+
+@query("stream_dedup_stats", """SELECT (SELECT count(*) FROM sent) AS total, (SELECT count(*) FROM sent) - count(DISTINCT event_id) AS duplicates,
+((SELECT count(*) FROM sent) - count(DISTINCT event_id)) * 100.0 / (SELECT count(*) FROM sent) AS duplicate_pct FROM sent""")
+def _stream_dedup_stats(t: Tables) -> DataFrame:
+    sent = metrics.observe_dedup(star_tables.redelivered(ingest.only_version(_events_stream(t))), "seen")
+    folder = _with_metrics(t, metrics.observe_dedup(rules.dedup_stream(sent), "kept"), "dedup-stats")
+    return metrics.dedup_totals(t.spark, folder, "seen", "kept")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playtide.functions import day
@@ -12,29 +14,45 @@ from playtide.functions import day
 PLAYS = ("stage_clear", "stage_fail")
 
 
-def daily_user_summary(df: DataFrame) -> DataFrame:
+#: Source rows behind a row of a signed rollup, less those taken back.
+SOURCE_ROWS = "source_rows"
+
+
+def _count(condition: Column, sign: Column | None) -> Column:
+    return F.count_if(condition) if sign is None else F.sum(F.when(condition, sign).otherwise(0)).cast("bigint")
+
+
+def _signed(sign: Column | None) -> list[Column]:
+    return [] if sign is None else [F.sum(sign).cast("bigint").alias(SOURCE_ROWS)]
+
+
+def daily_user_summary(df: DataFrame, sign: Column | None = None) -> DataFrame:
     """Clears and fails per (day, user, mode).
 
-    The users of a day are those with any event, so a user without plays has a row with zeros.
+    The users of a day are those with any event, so a user without plays has a row with zeros. With ``sign`` (1 for a new row, -1 for one
+    taken back) the sums are signed and the source rows are counted, see :func:`settled`.
     """
     return df.groupBy(day().alias("day"), "user_key", "mode").agg(
-        F.count_if(F.col("event_type") == "stage_clear").alias("clears"),
-        F.count_if(F.col("event_type") == "stage_fail").alias("fails"),
+        _count(F.col("event_type") == "stage_clear", sign).alias("clears"),
+        _count(F.col("event_type") == "stage_fail", sign).alias("fails"),
+        *_signed(sign),
     )
 
 
-def stage_difficulty(df: DataFrame) -> DataFrame:
-    """Mergeable parts per (mode, stage): clears, attempts (clears and fails), and sum and number of clear times."""
+def stage_difficulty(df: DataFrame, sign: Column | None = None) -> DataFrame:
+    """Mergeable parts per (mode, stage): clears, attempts (clears and fails), and sum and number of clear times; ``sign`` as above."""
     is_clear = F.col("event_type") == "stage_clear"
     timed = is_clear & (F.col("clear_time_ms") > 0)
+    weight = F.lit(1) if sign is None else sign
     return (
         df.filter(F.col("event_type").isin(*PLAYS))
         .groupBy("mode", "stage_id")
         .agg(
-            F.count_if(is_clear).alias("clears"),
-            F.count(F.lit(1)).alias("attempts"),
-            F.sum(F.when(timed, F.col("clear_time_ms")).otherwise(0).cast("bigint")).alias("clear_ms"),
-            F.count_if(timed).alias("timed_clears"),
+            _count(is_clear, sign).alias("clears"),
+            _count(F.lit(True), sign).alias("attempts"),
+            F.sum(F.when(timed, F.col("clear_time_ms") * weight).otherwise(0).cast("bigint")).alias("clear_ms"),
+            _count(timed, sign).alias("timed_clears"),
+            *_signed(sign),
         )
     )
 
@@ -49,6 +67,38 @@ def merge_rollup(old: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataF
     return sum_parts(old.unionByName(delta), keys)
 
 
+def settled(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rollup from any number of signed parts."""
+    return sum_parts(parts, keys).filter(F.col(SOURCE_ROWS) != 0).drop(SOURCE_ROWS)
+
+
+def added_up(keys: Sequence[str]) -> Callable[[DataFrame, bool], DataFrame]:
+    """Merge of stored parts of an additive rollup; rows whose sums are all zero say nothing and go if the rollup is signed."""
+    def merge(rows: DataFrame, oldest: bool) -> DataFrame:
+        out = sum_parts(rows, keys).select(*rows.columns)
+        if SOURCE_ROWS not in out.columns:
+            return out
+        return out.filter(reduce(or_, [F.col(c) != 0 for c in out.columns if c not in keys]))
+
+    return merge
+
+
+def latest_of(keys: Sequence[str], version: Sequence[str], horizon: int, op: str = "op") -> Callable[[DataFrame, bool], DataFrame]:
+    """Merge of stored parts of a change feed: the latest row of each key, deletes included.
+
+    A delete may be forgotten once nothing older is stored and it is more than ``horizon`` behind the newest change by the first version
+    column; changes that arrive later than that may bring a deleted key back.
+    """
+    def merge(rows: DataFrame, oldest: bool) -> DataFrame:
+        last = latest_by_key(rows, keys, version, op=None)
+        newest = rows.agg(F.max(version[0])).first()[0]
+        if not oldest or newest is None:
+            return last
+        return last.filter((F.coalesce(F.col(op), F.lit("")) != "d") | (F.col(version[0]) >= F.lit(newest) - horizon))
+
+    return merge
+
+
 def finalize_stage(parts: DataFrame) -> DataFrame:
     """Clear rate in per cent and mean clear time per (mode, stage), from any number of partial rows."""
     return sum_parts(parts, ["mode", "stage_id"]).withColumns({

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playtide.functions import event_ts
-from playtide.schema import ALERT_SCHEMA, EVENT_SCHEMA, SESSION_SCHEMA, names
+from playtide.schema import ALERT_FACT_SCHEMA, ALERT_SCHEMA, EVENT_SCHEMA, SESSION_FACT_SCHEMA, SESSION_SCHEMA, names
+from playtide.sources.tiered import TieredTable
 
 # Sort keys of the stored tables and how long raw events are kept.
 EVENT_SORT = ("event_type", "user_key", "timestamp")
@@ -79,6 +80,27 @@ def apply_retention(df: DataFrame, as_of: Column, months: int = RETENTION_MONTHS
     return df.filter(keep)
 
 
+def clustered_table(spark: SparkSession, path: str, schema: T.StructType, sort: Sequence[str]) -> TieredTable:
+    """A fact table that streams write: months, small parts merged into sorted ones, and a key range for each file."""
+    stored = T.StructType([*schema.fields, T.StructField("month", T.StringType())])
+    return TieredTable(spark, path, stored, sort=sort, partition=["month"])
+
+
+def clustered_events(spark: SparkSession, path: str) -> TieredTable:
+    """Raw events by (type, user, time)."""
+    return clustered_table(spark, path, EVENT_SCHEMA, EVENT_SORT)
+
+
+def clustered_sessions(spark: SparkSession, path: str) -> TieredTable:
+    """Session summaries by (user, start)."""
+    return clustered_table(spark, path, SESSION_FACT_SCHEMA, SESSION_SORT)
+
+
+def clustered_alerts(spark: SparkSession, path: str) -> TieredTable:
+    """Alerts by (type, user, time)."""
+    return clustered_table(spark, path, ALERT_FACT_SCHEMA, ALERT_SORT)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     """Events from JSON lines, one object per line."""
     return spark.read.schema(schema).json(path)

@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,13 +157,15 @@ class TieredTable:
         files = [File(r["path"], r["rows"], list(r["least"]), list(r["most"])) for r in ranges.orderBy("path").collect()]
         return Part(part.first, part.last, part.tier, files)
 
-    def commit(self, rows: DataFrame, number: int) -> None:
-        """Add the rows of micro-batch ``number`` and merge what is due."""
+    def commit(self, rows: DataFrame, number: int, alive: Column | None = None) -> None:
+        """Add the rows of micro-batch ``number`` and merge what is due; merged parts lose the rows that are not ``alive``."""
         before = self.parts(number)
         live = list(before)
         while (group := due(live, self.fanout)) is not None:
             oldest = group[0].first == min(p.first for p in live)
             merged = self._read(group)
+            if alive is not None:
+                merged = merged.filter(alive)
             if self.merge is not None:
                 merged = self.merge(merged, oldest)
             part = self._write(merged, Part(group[0].first, group[-1].last, group[0].tier + 1), cluster=True)
@@ -196,10 +198,11 @@ def newest(keys: Sequence[str], number: str = "_number") -> Callable[[DataFrame,
 class KeyedState:
     """The latest row of each key, as a log of changes: a micro-batch writes the keys it touches, never the others.
 
-    Keys lie in ``buckets`` folders by their hash; a micro-batch opens only those of its own keys.
+    Keys lie in ``buckets`` folders by their hash; a micro-batch opens only those of its own keys. Choose as many as keep one folder of
+    the largest part readable by a few tasks.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], buckets: int = 16, fanout: int = FANOUT):
         self.keys, self.schema, self.buckets = list(keys), schema, buckets
         stored = T.StructType([*schema.fields, T.StructField("_number", T.LongType()), T.StructField("_bucket", T.IntegerType())])
         self.table = TieredTable(spark, root, stored, newest(self.keys), partition=["_bucket"], fanout=fanout)
@@ -222,6 +225,9 @@ class KeyedState:
         """The whole state."""
         return newest(self.keys)(self.table.read(), True).select(*self.schema.names)
 
-    def commit(self, rows: DataFrame, number: int) -> None:
-        """Store the new rows of the keys that micro-batch ``number`` touched."""
-        self.table.commit(self._bucketed(rows.withColumn("_number", F.lit(number).cast("long"))), number)
+    def commit(self, rows: DataFrame, number: int, alive: Column | None = None) -> None:
+        """Store the new rows of the keys that micro-batch ``number`` touched.
+
+        Merged parts lose the rows that are not ``alive``; of a key whose latest row is not, older ones must not be either.
+        """
+        self.table.commit(self._bucketed(rows.withColumn("_number", F.lit(number).cast("long"))), number, alive)

@@ -17,9 +17,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from playtide.operators import ingest
 from playtide.operators.alerts import RAPID_COUNT, RAPID_WINDOW_MS
 from playtide.operators.sessions import GAP_MS
-from playtide.schema import EVENT_SCHEMA, names
-from playtide.sources.tables import JDBC_BATCH_ROWS, month_of
-from playtide.streaming.carried import DELAY_MS, Rule, alerts_rule, carried, sessions_rule
+from playtide.schema import ALERT_SCHEMA, EVENT_SCHEMA, names
+from playtide.session import collected, drop
+from playtide.sources.tables import JDBC_BATCH_ROWS, clustered_events, month_of
+from playtide.sources.tiered import TieredTable
+from playtide.streaming.carried import DELAY_MS, Rule, alert_numbers_rule, alerts_rule, carried, sessions_rule
 from playtide.streaming.rules import dedup_stream
 
 # How often the sinks write.
@@ -96,24 +98,39 @@ def start_ingest(
     return _triggered(requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now).start()
 
 
-def start_partials(
-    df: DataFrame, summarise: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, available_now: bool = False
+def parts_table(
+    stream: DataFrame, summarise: Callable[[DataFrame], DataFrame], path: str, merge: Callable[[DataFrame, bool], DataFrame],
+) -> TieredTable:
+    """The table of a rollup's or latest-state table's parts, one for each micro-batch, merged in tiers (``added_up``, ``latest_of``)."""
+    return TieredTable(stream.sparkSession, path, summarise(stream).schema, merge)
+
+
+def start_parts(
+    stream: DataFrame, summarise: Callable[[DataFrame], DataFrame], table: TieredTable, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
     """Keep a rollup or a latest-state table up to date: each micro-batch adds its own summary to the table of parts.
 
-    Readers combine the parts (``sum_parts``, ``latest_by_key``), so a new micro-batch never rewrites older rows, and a
-    repeated one replaces its part.
+    Readers combine what is stored (``sum_parts``, ``latest_by_key`` over ``table.read()``). A repeated micro-batch replaces its part.
     """
+    return start_tiered(stream, summarise, table, checkpoint, available_now)
+
 
+def start_tiered(
+    stream: DataFrame, change: Callable[[DataFrame], DataFrame], table: TieredTable, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Each micro-batch's ``change`` becomes a part of the table."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        summarise(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        with collected() as used:
+            table.commit(change(batch), batch_id)
+        for path in used:
+            drop(batch.sparkSession, path)
 
-    return _triggered(df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now).start()
+    return _triggered(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now).start()
 
 
-def read_parts(spark: SparkSession, path: str) -> DataFrame:
-    """All parts written by :func:`start_partials`."""
-    return spark.read.parquet(path).drop("batch_id")
+def start_clustering(stream: DataFrame, table: TieredTable, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """Follow a fact stream (with its ``month``) into a clustered table: few files, each with a narrow range of keys."""
+    return start_tiered(stream, lambda batch: batch, table, checkpoint, available_now)
 
 
 @dataclass(frozen=True)
@@ -172,6 +189,21 @@ def start_alerts(
     return _follow(spark, paths, rule, "alerts", "detected_at", available_now)
 
 
+def start_alert_numbers(spark: SparkSession, paths: JobPaths, available_now: bool = False) -> StreamingQuery:
+    """The alerts with their running number within the user, in the table ``alert_numbers``."""
+    alerts = read_fact_stream(spark, paths.table("alerts"), ALERT_SCHEMA).select(*names(ALERT_SCHEMA))
+    return start_carried(
+        alerts, alert_numbers_rule(), paths.table("alert_numbers"), paths.work("alert_numbers"), paths.checkpoint("alert_numbers"),
+        available_now=available_now)
+
+
+def start_event_clustering(spark: SparkSession, paths: JobPaths, available_now: bool = False) -> StreamingQuery:
+    """The cleaned events in the clustered table ``clustered_events``, beside the append-only one that the other queries follow."""
+    events = read_fact_stream(spark, paths.table("events"), EVENT_SCHEMA)
+    return start_clustering(
+        events, clustered_events(spark, paths.table("clustered_events")), paths.checkpoint("clustered_events"), available_now)
+
+
 def run_available(
     events: DataFrame, root: str, gap_ms: int = GAP_MS, window_ms: int = RAPID_WINDOW_MS, threshold: int = RAPID_COUNT
 ) -> JobPaths:
