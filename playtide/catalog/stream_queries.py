@@ -4,8 +4,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playtide.catalog.registry import WIDE_COUNT, WIDE_GAP_MS, WIDE_WINDOW_MS, Tables, query
+from playtide.catalog.report_queries import _retention_sql
 from playtide.catalog.rule_queries import _ALERT_COLUMNS, _LATEST, _ORDER, _SESSION_COLUMNS
-from playtide.operators import ingest, rollups
+from playtide.operators import activity, ingest, rollups
+from playtide.plans import game
+from playtide.plans.operations import scope
 from playtide.schema import ALERT_FACT_SCHEMA, SESSION_FACT_SCHEMA
 from playtide.session import work_path
 from playtide.sources import star_tables, tables
@@ -229,3 +232,37 @@ def _stream_dedup_stats(t: Tables) -> DataFrame:
     sent = metrics.observe_dedup(star_tables.redelivered(ingest.only_version(_events_stream(t))), "seen")
     folder = _with_metrics(t, metrics.observe_dedup(rules.dedup_stream(sent), "kept"), "dedup-stats")
     return metrics.dedup_totals(t.spark, folder, "seen", "kept")
+
+
+def _words(t: Tables, rows: DataFrame, purpose: str) -> DataFrame:
+    """The users' active days, kept by a stream of five micro-batches in merged parts."""
+    return _parts(t, activity.active_words, activity.merged_words, purpose, _shuffled_files(t, rows, 5))
+
+
+query("stream_activity_retention", _retention_sql("nb"))(
+    lambda t: activity.retention_from_words(_words(t, scope(t.events, bots=False), "words-all"), game.RETENTION_DAYS))
+query(
+    "stream_activity_repeaters",
+    """SELECT count(*) AS repeaters FROM (SELECT user_key FROM nb WHERE mode = 'time_attack' AND event_type = 'stage_start'
+GROUP BY 1 HAVING count(DISTINCT day) >= 2)""",
+)(lambda t: activity.repeaters_from_words(_words(t, scope(t.events, "stage_start", mode="time_attack", bots=False), "words-starts")))
+query(
+    "stream_activity_streaks",
+    """SELECT user_key, arg_max(len, last_day) AS streak_days, max(len) AS longest, strftime(max(last_day), '%Y-%m-%d') AS last_day
+FROM (SELECT user_key, island, count(*) AS len, max(day) AS last_day FROM (SELECT user_key, day,
+day - CAST(row_number() OVER (PARTITION BY user_key ORDER BY day) AS INTEGER) AS island
+FROM (SELECT DISTINCT user_key, day FROM ev WHERE event_type = 'session_start')) GROUP BY 1, 2) GROUP BY 1""",
+)(lambda t: activity.streaks_from_words(_words(t, scope(t.events, "session_start"), "words-logins")))
+
+
+@query(
+    "stream_monthly_users",
+    """SELECT strftime(date_trunc('month', day), '%Y-%m-%d') AS month, count(DISTINCT user_key) AS exact, true AS within_5_pct FROM ev GROUP BY 1""",
+)
+def _stream_monthly(t: Tables) -> DataFrame:
+    """Monthly users from daily sketches alone, beside the exact count that they are held against."""
+    month = F.to_date(F.date_trunc("month", "day"))
+    sketches = _parts(t, activity.user_sketches, activity.merged_sketches, "sketches", _shuffled_files(t, t.current, 5))
+    found = activity.users_of(sketches, month=month)
+    exact = t.current.groupBy(F.to_date(F.date_trunc("month", F.timestamp_millis("timestamp"))).alias("month")).agg(F.countDistinct("user_key").alias("exact"))
+    return found.join(exact, "month").select("month", "exact", (F.abs(F.col("users") - F.col("exact")) <= 0.05 * F.col("exact")).alias("within_5_pct"))
