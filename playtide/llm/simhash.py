@@ -237,7 +237,8 @@ def one_of_each(docs: DataFrame, words: int = 3, distance: int = 2, doc_id: str
     roots = written(connected_components(links(values.select("w0"), distance)), "simhash-roots")
     kept = values.join(roots, values["w0"] == roots["node"], "left").groupBy(F.coalesce("root", "w0").alias("group")).agg(
         F.min("best").alias("best")).select(F.col("best.row").alias("_row"))
-    return rows.join(written(kept, "simhash-kept"), "_row", "left_semi").select(*docs.columns)
+    # The kept rows' numbers grow with the documents: one kind of join at every size.
+    return rows.join(written(kept, "simhash-kept").hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def op3_simhash_near_dedup(spark, folder: str) -> DataFrame:
