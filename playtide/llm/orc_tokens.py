@@ -25,7 +25,7 @@ from playtide.session import work_path, written
 #: Id appended to each document.
 END_ID = 0
 #: Text bytes of a file, and of a step within a task.
-FILE_BYTES, STEP_BYTES = 16 << 20, 2 << 20
+FILE_BYTES, STEP_BYTES = 16 << 20, 4 << 20
 #: Units encoded at once.
 JOINED = 100
 OPTIONS = {
@@ -68,18 +68,15 @@ class ByteTokenizer:
         the tokens' lengths in bytes tell where each unit ends. The others are encoded one by one."""
         lengths = np.zeros(len(units), np.int64)
         joined = np.array([u[:1] == " " and not u[-1].isspace() for u in units], bool)
-        parts: list[np.ndarray] = []
-        places = np.nonzero(joined)[0]
-        for i in range(0, len(places), JOINED):
-            some = places[i:i + JOINED]
-            ids = np.array(self.tokenizer.encode("".join([units[k] for k in some]), add_special_tokens=False).ids, np.int32)
-            ends = np.cumsum([len(units[k].encode()) for k in some])
-            lengths[some] = np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends), prepend=-1)
-            parts.append(ids)
-        alone = np.nonzero(~joined)[0]
-        ids, lengths[alone] = in_a_row(x.ids for x in self.tokenizer.encode_batch([units[k] for k in alone], add_special_tokens=False))
+        places, alone = np.nonzero(joined)[0], np.nonzero(~joined)[0]
+        led = units if len(places) == len(units) else [units[k] for k in places]
+        found = [self.tokenizer.encode("".join(led[i:i + JOINED]), add_special_tokens=False).ids for i in range(0, len(led), JOINED)]
+        ids, _ = in_a_row(found)
+        ends = np.cumsum(pc.binary_length(pa.array(led, pa.string())).to_numpy(), dtype=np.int64)
+        lengths[places] = np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends), prepend=-1)
+        rest, lengths[alone] = in_a_row(x.ids for x in self.tokenizer.encode_batch([units[k] for k in alone], add_special_tokens=False))
         # Back to the order of the units.
-        flat, order = np.concatenate([*parts, ids]), np.concatenate([places, alone])
+        flat, order = np.concatenate([ids, rest]), np.concatenate([places, alone])
         firsts = np.zeros(len(units), np.int64)
         firsts[order] = np.cumsum(lengths[order]) - lengths[order]
         return flat[ranges(firsts, lengths)], lengths
@@ -95,7 +92,8 @@ class ByteTokenizer:
         words = pc.dictionary_encode(split.flatten())
         # The first word of a text has no blank in front.
         firsts = np.cumsum(counts) - counts
-        numbers = np.fromiter((index[" " + w] for w in words.dictionary.to_pylist()), np.int64)
+        led = pc.binary_join_element_wise("", words.dictionary, " ").to_pylist()
+        numbers = np.fromiter(map(index.__getitem__, led), np.int64, len(led))
         flat = numbers[words.indices.to_numpy()]
         flat[firsts] = [index[w] for w in words.take(pa.array(firsts)).to_pylist()]
         units = [self.units(x) for x in docs.filter(odd).to_pylist()]
@@ -156,15 +154,14 @@ def write_tokens(
 ) -> None:
     """Encode every text by the tokenizer file ``model``, as the library does when it is loaded, append ``end``, and write ORC below ``path``.
 
-    Files hold ascending ranges of doc_id, numbered by the column part; ``place`` numbers a file's rows. Rows of one id follow by a hash of
-    their text, so one id may fill many files. A null text counts as empty and a null id sorts first. Repeated rows are written
+    Files hold ascending ranges of doc_id, numbered by the column part; ``place`` numbers a file's rows. Rows of one id follow as they
+    are read, so one id may fill many files. A null text counts as empty and a null id sorts first. Repeated rows are written
     each; other columns are not read; an empty table writes no rows. ``options`` go to the writer.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     files = block_count(rows, F.col("text"), file_bytes)
-    order = ["doc_id", "_hash", "text", "_row"]
-    told = rows.withColumns({"_hash": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
-    ranged = told.repartitionByRange(files, "doc_id", "_hash", "_row").sortWithinPartitions(*order)
+    told = rows.withColumn("_row", F.monotonically_increasing_id())
+    ranged = told.repartitionByRange(files, "doc_id", "_row").sortWithinPartitions("doc_id", "_row")
     parts = ranged.select("doc_id", F.spark_partition_id().alias("part"), "text")
     parts.mapInArrow(_encoded(model, end), SCHEMA).write.options(**{**OPTIONS, **options}).orc(path)
 
