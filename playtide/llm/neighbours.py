@@ -48,9 +48,8 @@ def term_counts(docs: list[bytes]) -> np.ndarray:
     return out
 
 
-def fit(texts_: list[bytes], labels: np.ndarray, seed: int = 0) -> dict[str, np.ndarray]:
-    """Term weights, latent axes and the unit vectors of the sample."""
-    counts = np.concatenate([term_counts(texts_[s]) for s in sliced(texts_, STEP_BYTES)]) if texts_ else np.zeros((0, TERMS + REPEATS), np.float32)
+def fit(counts: np.ndarray, labels: np.ndarray, seed: int = 0) -> dict[str, np.ndarray]:
+    """Term weights, latent axes and the unit vectors of the sample, from its term counts."""
     weight = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
     weighted = counts * weight
     weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-9)
@@ -88,8 +87,11 @@ def vote(vectors: np.ndarray, model: dict[str, np.ndarray], neighbours: int = NE
     return np.clip(out, 0, 1)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int, doc_id: str, text: str, label: str) -> tuple[list[bytes], np.ndarray]:
-    """At most ``per_class`` learnt texts of each label 0 and 1, the least by the hash of their id; none where they are null."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int, doc_id: str, text: str, label: str) -> tuple[np.ndarray, np.ndarray]:
+    """Term counts and labels of at most ``per_class`` learnt texts of each label 0 and 1, the least by the hash of their id.
+
+    Null texts are left out; of several texts of one id the least by hash is taken. Only counts, no texts, come to the driver.
+    """
     marked = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("label"))
     rows = docs.filter(learn).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter("text is not null")
     ids = rows.select("id").join(marked, "id")
@@ -97,11 +99,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, per_class
         r for value in (0, 1)
         for r in ids.filter(F.col("label") == value).distinct().orderBy(F.xxhash64("id"), "id").limit(per_class).collect()
     ]
-    # The chosen ids are bounded by 2 x per_class.
-    picked = rows.filter(F.col("id").isin([r["id"] for r in chosen])).dropDuplicates(["id"]).collect() if chosen else []
+    if not chosen:
+        return np.zeros((0, TERMS + REPEATS), np.float32), np.zeros(0, np.float32)
+
+    def counted(batches):
+        for batch in batches:
+            found = texts(batch["text"])
+            for s in sliced(found, STEP_BYTES):
+                counts = [row.tobytes() for row in term_counts(found[s])]
+                yield pa.record_batch([batch["id"][s.start:s.stop], pa.array(counts, pa.binary())], ["id", "counts"])
+
+    # The chosen ids are bounded by 2 x per_class, and so is what is collected: TERMS + REPEATS numbers each.
+    picked = rows.filter(F.col("id").isin([r["id"] for r in chosen])).groupBy("id").agg(
+        F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    kind = picked.schema["id"].dataType.simpleString()
     label_of = {r["id"]: r["label"] for r in chosen}
-    picked.sort(key=lambda r: r["id"])
-    return [r["text"].encode() for r in picked], np.array([label_of[r["id"]] for r in picked], np.float32)
+    learnt = sorted(picked.mapInArrow(counted, f"id {kind}, counts binary").collect(), key=lambda r: r["id"])
+    counts = np.stack([np.frombuffer(r["counts"], np.float32) for r in learnt])
+    return counts, np.array([label_of[r["id"]] for r in learnt], np.float32)
 
 
 def score(
