@@ -287,3 +287,26 @@ def test_line_dedup_equals_its_sql(spark):
     from compare import connect, differences
 
     assert differences(lines.op7_line_dedup(spark, str(Path("/root/testdata/sf0.01"))), connect(str(Path("/root/testdata/sf0.01"))), lines.OP7_SQL) == []
+
+
+@pytest.mark.parametrize("times", [1, 6])
+def test_line_threshold_follows_the_length(spark, make_docs, times):
+    """Long passages count from five sites, whatever their documents; short prose lines need most sites, however large the corpus."""
+    passage = " ".join(f"word{i}" for i in range(55))
+    rows = []
+    for i in range(200 * times):
+        parts = [f"own text of document {i}"]
+        if i % 20 < 12:
+            parts.append(f"{passage} on {5 if i % 20 < 5 else 4 if i % 20 < 9 else 3}")
+        if i % 20 < 11:
+            parts.append("The.")
+        if i % 20 < 9:
+            parts.append("five words of clean prose")
+        if i % 20 < 10:
+            parts.append("five words of common boilerplate")
+        parts.append("Of.")
+        rows.append((i, "\n".join(parts), "en", f"s{i % 20}"))
+    left = Counter(x for r in lines.dedup_lines(make_docs(rows)).collect() for x in r.text.split("\n"))
+    assert left[f"{passage} on 5"] == left["Of."] == left["five words of common boilerplate"] == 1
+    assert left[f"{passage} on 4"] == 40 * times and left[f"{passage} on 3"] == 30 * times
+    assert left["The."] == 110 * times and left["five words of clean prose"] == 90 * times
