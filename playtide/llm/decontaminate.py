@@ -8,6 +8,8 @@ alignment. A larger benchmark only lets more positions through to the join.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,11 +19,14 @@ from xxhash import xxh64_intdigest
 from playtide.llm.common import LOWER, sliced, table, texts
 from playtide.session import written
 
-#: Places of the words that count under each mask.
-MASKS = ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 9), (0, 1, 4, 5, 8, 10))
-SPAN = 1 + max(map(max, MASKS))
-#: Items of fewer words than this say nothing and are not searched.
-LEAST_WORDS = 5
+#: Least words of an item, and the masks (places of the words that count) it is searched by. At every length up to 14 words each way to
+#: substitute a fifth of the words leaves a seed whole; for longer items the test measures the share found. Shorter items than the
+#: first say nothing and are not searched.
+MASKS = (
+    (5, ((0, 1, 2, 3), (0, 1, 3, 4), (0, 2, 3, 4), (0, 1, 2, 4))),
+    (6, ((0, 1, 2, 3), (0, 1, 3, 4))),
+    (13, ((0, 1, 2, 4, 7, 8), (0, 2, 3, 5, 6, 9), (0, 1, 4, 5, 8, 10))),
+)
 #: Words that must agree in the best aligned segment: this many, or SHARE of a shorter item.
 OVERLAP, SHARE = 13, 0.8
 #: A word that differs costs as much as this many that agree.
@@ -45,47 +50,51 @@ def seeds(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     n = len(words) - mask[-1]
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.full(n, np.uint64(len(mask) * 1000 + mask[-1]), np.uint64)
+    out = np.full(n, np.uint64(sum(1 << place for place in mask)), np.uint64)
     for place in mask:
         out = (out ^ words[place:place + n]) * FACTOR
         out ^= out >> np.uint64(31)
     return out
 
 
-def masks_for(lengths: list[int]) -> list[tuple[int, ...]]:
-    """The fixed masks, and for items shorter than one of them a full mask of each such length."""
-    return [*MASKS, *(tuple(range(n)) for n in sorted(set(lengths)) if LEAST_WORDS <= n < SPAN)]
+def masks_for(n: int) -> tuple[tuple[int, ...], ...]:
+    """The masks by which an item of ``n`` words is searched."""
+    return next((masks for least, masks in reversed(MASKS) if n >= least), ())
 
 
-def _seed_batches(masks, bitmap):
+def _seed_batches(masks_of, bitmap):
     def run(batches):
         keep = bitmap.value if bitmap is not None else None
         for batch in batches:
             for part in sliced(texts(batch["text"]), STEP_BYTES):
                 found = word_hashes(texts(batch["text"].slice(part.start, part.stop - part.start)))
-                rows: list[list[np.ndarray]] = [[], [], [], []]
+                rows: list[list[np.ndarray]] = [[], [], []]
                 for i, words in enumerate(found):
-                    for m, mask in enumerate(masks):
+                    for mask in masks_of(len(words)):
                         hashes = seeds(words, mask)
                         at = np.arange(len(hashes))
                         if keep is not None and len(hashes):
                             bit = hashes >> np.uint64(64 - MAP_BITS)
                             at = np.nonzero(keep[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1))[0]
                         if len(at):
-                            for column, values in zip(rows, (np.full(len(at), part.start + i), np.full(len(at), m), at, hashes[at])):
+                            for column, values in zip(rows, (np.full(len(at), part.start + i), at, hashes[at])):
                                 column.append(values)
                 if rows[0]:
-                    row, mask, at, hashes = (np.concatenate(x) for x in rows)
+                    row, at, hashes = (np.concatenate(x) for x in rows)
+                    row = pa.array(row)
                     yield pa.record_batch([
-                        batch["id"].take(pa.array(row)), pa.array(mask.astype(np.int32)), pa.array(at.astype(np.int32)),
-                        pa.array(hashes.view(np.int64))], ["id", "mask", "at", "seed"])
+                        batch["id"].take(row), batch["text_hash"].take(row), pa.array(at.astype(np.int32)),
+                        pa.array(hashes.view(np.int64))], ["id", "text_hash", "at", "seed"])
 
     return run
 
 
-def seed_rows(rows: DataFrame, masks: list[tuple[int, ...]], bitmap=None) -> DataFrame:
-    """id, mask, at and seed of every masked position of (id, text) rows that the bit map, if any, lets through."""
-    return rows.mapInArrow(_seed_batches(masks, bitmap), "id long, mask int, at int, seed long")
+def seed_rows(rows: DataFrame, masks_of: Callable[[int], Iterable[tuple[int, ...]]], bitmap=None) -> DataFrame:
+    """id, text_hash, at and seed of every masked position of (id, text, text_hash) rows that the bit map, if any, lets through.
+
+    ``masks_of(n)`` gives the masks for a text of n words. A seed's hash depends on its mask.
+    """
+    return rows.mapInArrow(_seed_batches(masks_of, bitmap), "id long, text_hash long, at int, seed long")
 
 
 def best_segment(agree: np.ndarray) -> int:
@@ -99,6 +108,20 @@ def best_segment(agree: np.ndarray) -> int:
     return int(agree[start:end].sum())
 
 
+def agreement(words: np.ndarray, item: np.ndarray, shift: int) -> int:
+    """Words of the item that the text holds if item word i lies on word i + ``shift``; 0 if that is no passage.
+
+    A passage is a best segment of OVERLAP agreeing words; of an item too short for that, SHARE of its words, wherever they are.
+    """
+    low, high = max(0, -shift), min(len(item), len(words) - shift)
+    if high <= low:
+        return 0
+    agree = item[low:high] == words[low + shift:high + shift]
+    least = SHARE * len(item)
+    n = int(agree.sum()) if least < OVERLAP else best_segment(agree)
+    return n if n >= min(OVERLAP, least) else 0
+
+
 def _verified(batches):
     for batch in batches:
         ids, items, matched = [], [], []
@@ -106,10 +129,8 @@ def _verified(batches):
             words = word_hashes([text])[0].view(np.int64)
             best: dict[int, int] = {}
             for hit in hits:
-                item, shift = np.array(hit["words"], np.int64), hit["shift"]
-                low, high = max(0, -shift), min(len(item), len(words) - shift)
-                n = best_segment(item[low:high] == words[low + shift:high + shift]) if high > low else 0
-                if n >= min(OVERLAP, SHARE * len(item)):
+                n = agreement(words, np.array(hit["words"], np.int64), hit["shift"])
+                if n:
                     best[hit["item"]] = max(n, best.get(hit["item"], 0))
             for item, n in best.items():
                 ids.append(doc)
@@ -123,14 +144,16 @@ def overlaps(
 ) -> DataFrame:
     """(doc_id, item_id, matched): benchmark items of which a document holds a passage, and its agreeing words.
 
-    An item counts if the best aligned segment agrees in OVERLAP words, or in SHARE of a shorter item's words; words may be
-    substituted but not inserted within a segment. Null texts count as empty; items under LEAST_WORDS words are not searched. Rows
-    that share a doc_id (or a null one) are reported together, repeated items once; other columns are not read. Empty tables
-    give an empty result.
+    An item counts if the best aligned segment agrees in OVERLAP words, or the alignment in SHARE of a shorter item's words; words may be
+    substituted but not inserted within a segment. Null texts count as empty; items under five words are not searched. Rows
+    that share a doc_id (or a null one) are reported together, but searched one text at a time; repeated items count once; other
+    columns are not read. Empty tables give an empty result.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    items = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).filter("id is not null")
+    keyed = lambda df, name: df.select(
+        F.col(name[0]).cast("long").alias("id"), F.col(name[1]).alias("text"), F.xxhash64(name[1]).alias("text_hash"))
+    rows = keyed(docs, (doc_id, text))
+    items = keyed(benchmark, (item_id, item_text)).filter("id is not null")
 
     def hashed(batches):
         for batch in batches:
@@ -138,10 +161,11 @@ def overlaps(
             yield pa.record_batch([batch["id"], pa.array(words, pa.list_(pa.int64()))], ["item", "words"])
 
     words = written(items.mapInArrow(hashed, "item long, words array<long>"), "benchmark-words")
-    # At most SPAN different short lengths.
-    short = words.select(F.size("words").alias("n")).filter(F.col("n") < SPAN).distinct().collect()
-    masks = masks_for([r["n"] for r in short])
-    held = written(seed_rows(items, masks).withColumnsRenamed({"id": "item", "at": "item_at"}), "benchmark-seeds")
+    # The documents are searched by the masks that some item needs: at most one row for each kind in MASKS.
+    kind = sum(((F.size("words") >= least).cast("int") for least, _ in MASKS), F.lit(0))
+    kinds = [r["kind"] for r in words.select(kind.alias("kind")).distinct().collect()]
+    masks = sorted({mask for k in kinds if k for mask in MASKS[k - 1][1]})
+    held = written(seed_rows(items, masks_for).select(F.col("id").alias("item"), F.col("at").alias("item_at"), "seed"), "benchmark-seeds")
     # 2^24 bits however large the benchmark is.
     bit = F.shiftrightunsigned("seed", 64 - MAP_BITS)
     cells = held.select(F.shiftright(bit, 6).alias("cell"), (bit.bitwiseAND(63)).cast("int").alias("bit")).groupBy("cell").agg(
@@ -149,11 +173,14 @@ def overlaps(
     bitmap = np.zeros(1 << (MAP_BITS - 6), np.uint64)
     for row in cells.collect():
         bitmap[row["cell"]] = np.uint64(row["bits"] & (2**64 - 1))
-    probes = seed_rows(rows, masks, spark.sparkContext.broadcast(bitmap))
-    hits = probes.join(held, ["mask", "seed"]).select("id", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    probes = seed_rows(rows, lambda n: masks, spark.sparkContext.broadcast(bitmap))
+    hits = probes.join(held, "seed").select("id", "text_hash", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     hits = written(hits, "benchmark-hits").join(words, "item")
-    by_doc = hits.groupBy(F.col("id").alias("hit_id")).agg(F.collect_list(F.struct("item", "shift", "words")).alias("hits"))
-    checked = rows.join(by_doc, F.col("id").eqNullSafe(F.col("hit_id"))).select("id", "text", "hits")
+    # Hits meet by text, not by id: a common id (or none) gathers no more than any other, and copies of a text share their hits.
+    by_doc = hits.groupBy(F.col("id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).agg(
+        F.collect_list(F.struct("item", "shift", "words")).alias("hits"))
+    same = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))
+    checked = rows.join(by_doc, same).select("id", "text", "hits")
     found = checked.mapInArrow(_verified, "doc_id long, item_id long, matched int")
     return found.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
 

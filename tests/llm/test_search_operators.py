@@ -302,3 +302,49 @@ def test_pipeline_stages_on_edges(spark, make_docs, tmp_path):
             out = stage(spark, rows, folder)
             assert out.count() <= rows.count()
             assert "doc_id" in out.columns
+
+
+def plain_passage(words, item):
+    """Whether some alignment of the item, inside the text or over its ends, holds a passage by the operator's rule."""
+    found, asked = (decontaminate.word_hashes([" ".join(x).encode()])[0] for x in (words, item))
+    return any(decontaminate.agreement(found, asked, shift) for shift in range(-len(asked) + 1, len(found)))
+
+
+def test_decontamination_finds_substituted_passages(spark, make_docs):
+    """Against brute force over all alignments: items of 5 to 35 words with up to a quarter of their words substituted."""
+    rng = random.Random(5)
+    word = lambda: f"t{rng.randint(0, 10**6)}"
+    items = [[word() for _ in range(n)] for n in range(5, 36)]
+    rows, planted = [], []
+    for number, item in enumerate(items):
+        for k in range(len(item) // 4 + 1):
+            for _ in range(6):
+                changed = set(rng.sample(range(len(item)), k))
+                text = [word() for _ in range(20)] + [word() if i in changed else w for i, w in enumerate(item)] + [word() for _ in range(9)]
+                rows.append((len(rows), " ".join(text)))
+                planted.append((number, plain_passage(text, item)))
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(make_docs(rows), bench).collect()}
+    expected = {(doc, number) for doc, (number, passage) in enumerate(planted) if passage}
+    assert got <= expected
+    for low, high in ((5, 12), (13, 16), (17, 35)):
+        asked = {(doc, number) for doc, number in expected if low <= len(items[number]) <= high}
+        assert len(got & asked) >= (1 if high <= 12 else 0.95) * len(asked) > 0
+    # A third of the rows without an id and a third that shares one: their hits are not mixed up.
+    hot = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, text) for i, text in rows]
+    pairs = {(doc, number) for (doc, _), (number, _), i in zip(hot, planted, range(len(hot))) if (i, number) in got}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.overlaps(make_docs(hot), bench).collect()} == pairs
+
+
+def test_short_masks_meet_every_substitution():
+    for n in range(5, 15):
+        for changed in combinations(range(n), n // 5):
+            assert any(
+                all(at + place not in changed for place in mask) for mask in decontaminate.masks_for(n) for at in range(n - mask[-1])), (n, changed)
+
+
+def test_classifier_takes_one_text_of_a_repeated_id(spark, make_docs):
+    rows = [(i % 40, f"text number {i} with words {'x' * (i % 7)}") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    drawn = [neighbours.labelled_sample(make_docs(rows, n), labels, F.lit(True), 15, "doc_id", "text", "quality") for n in (1, 7)]
+    assert (drawn[0][0] == drawn[1][0]).all() and (drawn[0][1] == drawn[1][1]).all() and len(drawn[0][0]) == 30
