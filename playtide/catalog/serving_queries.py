@@ -6,6 +6,8 @@ from playtide.catalog.registry import query
 from playtide.catalog.sql import pct, rnd
 from playtide.functions import event_ts
 from playtide.plans import player, serving
+from playtide.plans.board import RankedBoard
+from playtide.session import work_path
 
 _BEST = "entry_id, user_key, nickname, time_limit_sec, score, stages_cleared, avg_clear_ms, universal_used"
 _BEST_COLUMNS = _BEST.split(", ")
@@ -43,6 +45,24 @@ query("my_rank_120_seconds", f"SELECT {_BEST}, rank FROM {_best_sql(120)} WHERE
 )
 
 
+def _indexed(t) -> RankedBoard:
+    """The board, kept up by three thirds of the scores."""
+    third = F.pmod(F.xxhash64("entry_id"), F.lit(3))
+    deltas = [serving.best_scores(t.leaderboard.filter(third == i), t.users) for i in range(3)]
+    board = RankedBoard(t.spark, work_path(t.spark, "board"), deltas[0].schema)
+    for number, delta in enumerate(deltas):
+        board.commit(delta, number)
+    return board
+
+
+query("indexed_page", f"SELECT {_BEST}, rank FROM ranked ORDER BY rank, user_key LIMIT 50 OFFSET 40")(
+    lambda t: _indexed(t).page(50, 40).select(*_BEST_COLUMNS, "rank")
+)
+query("indexed_rank", f"SELECT {_BEST}, rank FROM ranked WHERE user_key = 'user_7'")(
+    lambda t: _indexed(t).rank_of("user_7").select(*_BEST_COLUMNS, "rank")
+)
+
+
 @query(
     "appended_scores",
     """SELECT user_key, time_limit_sec, score, stages_cleared FROM lb

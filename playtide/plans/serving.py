@@ -30,6 +30,20 @@ def _better_first() -> list[Column]:
     return [F.desc("score"), F.desc("stages_cleared"), F.asc_nulls_last("avg_clear_ms")]
 
 
+def best_rows(rows: DataFrame) -> DataFrame:
+    """The best of each user's rows, a map-side combined minimum; among equal results the earliest entry wins."""
+    rest = [c for c in rows.columns if c not in ("user_key", "played_at", "entry_id", *RESULT)]
+    preference = F.struct(
+        (-F.col("score").cast("bigint")).alias("score"),
+        (-F.col("stages_cleared").cast("bigint")).alias("stages_cleared"),
+        F.col("avg_clear_ms").isNull().alias("untimed"),
+        F.col("avg_clear_ms"), F.col("played_at"), F.col("entry_id"), *[F.col(c) for c in rest],
+    )
+    best = rows.groupBy("user_key").agg(F.min(preference).alias("b"))
+    turned = {c: (-F.col(f"b.{c}")).cast(rows.schema[c].dataType).alias(c) for c in ("score", "stages_cleared")}
+    return best.select(*[turned.get(c, F.col("user_key" if c == "user_key" else f"b.{c}")) for c in rows.columns])
+
+
 def best_scores(
     leaderboard: DataFrame, users: DataFrame, mode: str = "time_attack", time_limit_sec: int | None = None
 ) -> DataFrame:
@@ -40,19 +54,18 @@ def best_scores(
     rows = leaderboard.filter(F.col("mode") == mode)
     if time_limit_sec is not None:
         rows = rows.filter(F.col("time_limit_sec") == time_limit_sec)
-    rest = [c for c in names(LEADERBOARD_SCHEMA) if c not in ("user_key", "played_at", "entry_id", *RESULT)]
-    preference = F.struct(
-        (-F.col("score").cast("bigint")).alias("score"),
-        (-F.col("stages_cleared").cast("bigint")).alias("stages"),
-        F.col("avg_clear_ms").isNull().alias("untimed"),
-        F.col("avg_clear_ms"), F.col("played_at"), F.col("entry_id"), *[F.col(c) for c in rest],
-    )
-    best = rows.groupBy("user_key").agg(F.min(preference).alias("b")).select(
-        "b.entry_id", "user_key", "b.mode", "b.time_limit_sec",
-        (-F.col("b.score")).cast("int").alias("score"), (-F.col("b.stages")).cast("int").alias("stages_cleared"),
-        "b.avg_clear_ms", "b.universal_used", "b.played_at",
-    )
-    return best.join(users.select("user_key", "nickname"), "user_key")
+    return best_rows(rows.select(*names(LEADERBOARD_SCHEMA))).join(users.select("user_key", "nickname"), "user_key")
+
+
+def result_digits() -> dict[str, Column]:
+    """A result as six digits of 16 bits; results sort like them, the best first, and each has at most 65,537 values below those before it."""
+    ascending = (-F.col("score").cast("bigint"), -F.col("stages_cleared").cast("bigint"), F.col("avg_clear_ms").cast("bigint"))
+    digits: dict[str, Column] = {}
+    for number, value in enumerate(ascending):
+        # A missing time sorts behind every 32-bit number.
+        value = F.coalesce(value, F.lit(1 << 32))
+        digits |= {f"_d{number}a": F.floor(value / F.lit(1 << 16)), f"_d{number}b": value}
+    return digits
 
 
 def rank_scores(best: DataFrame) -> DataFrame:
@@ -63,12 +76,7 @@ def rank_scores(best: DataFrame) -> DataFrame:
     and a smaller next one. So no sort sees more than the 65,537 values of one digit, and the tables joined on the way
     are counts per leading digits.
     """
-    ascending = (-F.col("score").cast("bigint"), -F.col("stages_cleared").cast("bigint"), F.col("avg_clear_ms").cast("bigint"))
-    digits: dict[str, Column] = {}
-    for number, value in enumerate(ascending):
-        # A missing time sorts behind every 32-bit number.
-        value = F.coalesce(value, F.lit(1 << 32))
-        digits |= {f"_d{number}a": F.floor(value / F.lit(1 << 16)), f"_d{number}b": value}
+    digits = result_digits()
     keys = list(digits)
     results = written(best.select(*RESULT).distinct().withColumns(digits), "results")
 

@@ -210,8 +210,8 @@ class KeyedState:
     def _bucketed(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
-    def of(self, touched: DataFrame, before: int) -> DataFrame:
-        """The state rows of the distinct keys in ``touched``, as they were before micro-batch ``before``."""
+    def of(self, touched: DataFrame, before: int | None) -> DataFrame:
+        """The state rows of the distinct keys in ``touched``, as they were before micro-batch ``before`` (None: as they are)."""
         asked = self._bucketed(touched.select(*self.keys).distinct())
         buckets = [r[0] for r in asked.select("_bucket").distinct().collect()]  # at most ``buckets``
         rows = self.table.read(before=before).filter(F.col("_bucket").isin(buckets))
