@@ -28,6 +28,10 @@ CLASSES = {
     "symbol": r"[#*$%&|<>@^~=+/\\_{}\[\]`]",
 }
 WINDOW = 5
+#: Least characters for the class histogram and words for the word histogram of a document to say something.
+MIN_CHARS, MIN_WORDS = 200, 100
+#: Documents of such length and without a failed base rule that make a reference.
+MIN_DOCS = 10
 
 
 def _without(text: Column, pattern: str) -> Column:
@@ -113,59 +117,72 @@ def _divergence(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(both, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
-def references(measured: DataFrame) -> DataFrame:
-    """Mean histograms of each supported language over all its documents."""
+def references(measured: DataFrame, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """Mean histograms of each supported language over its documents that are long enough and pass the base rules.
+
+    Each such document weighs the same, so no long one sets the reference. A histogram of fewer than ``min_docs`` documents is null.
+    """
     names = list(CLASSES) + ["other"]
-    shares = measured.filter(F.col("lang").isin(list(COMMON_WORDS))).filter("n_words > 0").select(
-        "lang", _shares(F.col("classes"), F.col("length")).alias("c"),
-        reduce(lambda a, name: F.when(F.col("lang") == name, _shares(F.col("common")[name], F.col("n_words"))).otherwise(a),
-               COMMON_WORDS, F.lit(None).cast("array<double>")).alias("w"))
+    sound = measured.filter(F.col("lang").isin(list(COMMON_WORDS))).filter(~base_failed())
+    shares = sound.select(
+        "lang", F.when(F.col("length") >= min_chars, _shares(F.col("classes"), F.col("length"))).alias("c"),
+        F.when(F.col("n_words") >= min_words, reduce(
+            lambda a, name: F.when(F.col("lang") == name, _shares(F.col("common")[name], F.col("n_words"))).otherwise(a),
+            COMMON_WORDS, F.lit(None).cast("array<double>"))).alias("w"))
     size = max(map(len, COMMON_WORDS.values())) + 1
     means = shares.groupBy("lang").agg(
+        F.count("c").alias("c"), F.count("w").alias("w"),
         *(F.avg(F.col("c")[i]).alias(f"c{i}") for i in range(len(names))),
         *(F.avg(F.col("w")[i]).alias(f"w{i}") for i in range(size)))
     return means.select(
-        "lang", F.array(*(f"c{i}" for i in range(len(names)))).alias("ref_classes"),
-        F.array(*(f"w{i}" for i in range(size))).alias("ref_common"))
+        "lang", F.when(F.col("c") >= min_docs, F.array(*(f"c{i}" for i in range(len(names))))).alias("ref_classes"),
+        F.when(F.col("w") >= min_docs, F.array(*(f"w{i}" for i in range(size)))).alias("ref_common"))
+
+
+def base_failed() -> Column:
+    """Whether a measured document is too short or repeats itself."""
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
 def judge(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-    max_class_distance: float = 0.18, max_word_distance: float = 0.24, min_chars: int = 200, min_words: int = 100,
+    max_class_distance: float = 0.18, max_word_distance: float = 0.24, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS,
 ) -> DataFrame:
     """Measure every document and compare it with the references of its language.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance, word_distance, kept.
     Character classes count against documents of at least ``min_chars`` characters, common words against those of at least
     ``min_words`` words; a shorter histogram says nothing. A document without a supported language (null or other) is held
-    against the nearest reference. Null text counts as empty; an empty text fails the base rules. Repeated rows are judged each;
+    against the nearest reference. A language with fewer than ``min_docs`` documents to learn from has no reference: its classes are held
+    against the nearest one of another language, its words against none. Null text counts as empty; an empty text fails the base rules. Repeated rows are judged each;
     other columns are not read. Without any reference (an empty table) no distance exists and only the base rules count.
     """
     measured = written(features(docs, doc_id, text, lang), "divergence")
-    means = references(measured)
+    means = references(measured, min_chars, min_words, min_docs)
     # One row for each supported language, so bounded by COMMON_WORDS: they become constants of the expression.
     found = {r["lang"]: r for r in means.collect()}
     zero = F.lit(None).cast("double")
 
-    def distance(column: str, of) -> Column:
+    def distance(column: str, of, lent: bool) -> Column:
         each = {
-            name: _divergence(of(name), F.array(*(F.lit(float(x)) for x in found[name][column]))) for name in COMMON_WORDS if name in found
+            name: _divergence(of(name), F.array(*(F.lit(float(x)) for x in found[name][column]))) for name in COMMON_WORDS
+            if name in found and found[name][column] is not None
         }
         if not each:
             return zero
         nearest = F.least(*each.values()) if len(each) > 1 else next(iter(each.values()))
-        return reduce(lambda a, name: F.when(F.col("lang") == name, each[name]).otherwise(a), each, nearest)
+        own = {name: each.get(name, nearest if lent else zero) for name in COMMON_WORDS}
+        return reduce(lambda a, name: F.when(F.col("lang") == name, own[name]).otherwise(a), own, nearest)
 
     judged = measured.withColumns({
-        "class_distance": distance("ref_classes", lambda _: _shares(F.col("classes"), F.col("length"))),
-        "word_distance": distance("ref_common", lambda name: _shares(F.col("common")[name], F.col("n_words"))),
+        "class_distance": distance("ref_classes", lambda _: _shares(F.col("classes"), F.col("length")), lent=True),
+        "word_distance": distance("ref_common", lambda name: _shares(F.col("common")[name], F.col("n_words")), lent=False),
     })
-    base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     strange = ((F.col("length") >= min_chars) & (F.col("class_distance") > max_class_distance)) | (
         (F.col("n_words") >= min_words) & (F.col("word_distance") > max_word_distance))
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"),
-        "class_distance", "word_distance", (~base_failed & ~F.coalesce(strange, F.lit(False))).alias("kept"))
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"),
+        "class_distance", "word_distance", (~base_failed() & ~F.coalesce(strange, F.lit(False))).alias("kept"))
 
 
 def op4_quality_rules(spark, folder: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -310,3 +311,18 @@ def test_line_threshold_follows_the_length(spark, make_docs, times):
     assert left[f"{passage} on 5"] == left["Of."] == left["five words of common boilerplate"] == 1
     assert left[f"{passage} on 4"] == 40 * times and left[f"{passage} on 3"] == 30 * times
     assert left["The."] == 110 * times and left["five words of clean prose"] == 90 * times
+
+
+def test_references_need_enough_sound_documents(spark, make_docs):
+    """Junk that is alone in its language does not set its own reference, nor do one-word texts; clean text of a rare language stays."""
+    rng = random.Random(4)
+    prose = lambda words, n: " ".join(rng.choice([*words, "stone", "river", "mountain", "garden."]) for _ in range(n))
+    english, german = divergence.COMMON_WORDS["en"], divergence.COMMON_WORDS["de"]
+    rows = [(i, prose(english, 150 + i), "en") for i in range(30)] + [(100 + i, "#$%&", "en") for i in range(300)]
+    rows += [(500, " ".join(f"zq{i}#" for i in range(200)), "fr"), (501, prose(german, 180), "de"), (502, prose(english, 180), None)]
+    got = {r.doc_id: r for r in divergence.judge(make_docs(rows)).collect()}
+    assert all(got[i].kept and got[i].class_distance < 0.15 for i in range(30))
+    assert not got[500].kept and got[500].class_distance > 0.18 and got[500].word_distance is None
+    assert got[501].kept and got[502].kept and got[502].word_distance is not None
+    alone = divergence.judge(make_docs(rows).filter("lang = 'fr'")).first()
+    assert alone.kept and alone.class_distance is None
