@@ -36,12 +36,15 @@ def parse_batches(df: DataFrame, value: str = "value") -> DataFrame:
     Event fields are read as variants, so that a missing one, a null and a wrong type can be told apart: whole numbers may come as
     text or as 1.0; ``null_version`` of an event marks versions that are null, not left out. ``inline`` parses each
     text, and reads each event's fields, once; plain expressions would be repeated in every limit that is checked.
+    ``payload`` stays a variant here; ``object_payload`` is false where it is there and no object.
     """
     request = F.from_json(value, BATCH_SCHEMA, {"mode": "PERMISSIVE"})
     event = lambda e: F.struct(
         e["event_type"].alias("event_type"), e["session_id"].alias("session_id"), _whole(e["client_timestamp"]).alias("client_timestamp"),
         *(F.try_variant_get(e[name], "$", "string").alias(name) for name in ("app_version", "schema_version")),
-        F.to_json(e["payload"]).alias("payload"),
+        e["payload"].alias("payload"),
+        # Only an object can be read as a struct, here one without fields.
+        (e["payload"].isNull() | F.try_variant_get(e["payload"], "$", "struct<>").isNotNull()).alias("object_payload"),
         (F.is_variant_null(e["app_version"]) | F.is_variant_null(e["schema_version"])).alias("null_version"))
     parsed = df.select(*df.columns, F.inline(F.array(request)))
     head = [*df.columns, "user_key", "app_version"]
@@ -64,8 +67,7 @@ def validate_batches(df: DataFrame) -> DataFrame:
         "app_version": F.length("app_version") > MAX_APP_VERSION,
         "events": events.isNull() | ~F.size(events).between(1, MAX_BATCH_EVENTS),
         "event": incomplete,
-        # A payload is written anew from what was parsed, so an object starts with its brace.
-        "payload": F.exists(events, lambda e: ~e["payload"].startswith("{")),
+        "payload": F.exists(events, lambda e: ~e["object_payload"]),
         "version": F.exists(events, lambda e: e["null_version"]),
         "event_app_version": F.exists(events, lambda e: F.length(e["app_version"]) > MAX_APP_VERSION),
         "event_schema_version": F.exists(events, lambda e: F.length(e["schema_version"]) > MAX_SCHEMA_VERSION),
@@ -101,7 +103,7 @@ def explode_batches(df: DataFrame, *keep: str) -> DataFrame:
             F.coalesce("event.app_version", F.lit(DEFAULT_APP_VERSION)).alias("app_version"),
             # An empty version counts as the first one.
             F.coalesce(F.nullif("event.schema_version", F.lit("")), F.lit(DEFAULT_SCHEMA_VERSION)).alias("schema_version"),
-            F.coalesce("event.payload", F.lit("{}")).alias("payload"),
+            F.coalesce(F.to_json("event.payload"), F.lit("{}")).alias("payload"),
         )
     )
 
@@ -137,11 +139,10 @@ def flatten_payload(df: DataFrame) -> DataFrame:
             found.append(F.try_variant_get(F.col("_values")["device_info"], "$.platform", "string"))
         return F.when(flat, F.coalesce(*found))
 
-    texts = [n for n, kind in kinds.items() if isinstance(kind, T.StringType)]
-    numbers = [n for n, kind in kinds.items() if not isinstance(kind, T.StringType)]
+    texts, wide, narrow = ([n for n, kind in kinds.items() if isinstance(kind, t)] for t in (T.StringType, T.LongType, T.IntegerType))
     taken = lambda name, value: F.is_variant_null(value) | F.when(
         name.isin(texts), F.try_variant_get(value, "$", "string").isNotNull()
-    ).when(name.isin(numbers), _whole(value).try_cast("int").isNotNull()).otherwise(False)
+    ).when(name.isin(wide), _whole(value).isNotNull()).when(name.isin(narrow), _whole(value).try_cast("int").isNotNull()).otherwise(False)
     rest = F.to_json(F.map_filter("_values", lambda name, value: ~(name.isin(list(kinds)) & taken(name, value))))
     # ``inline`` parses each payload once; fields and rest come from the same map.
     return (

@@ -228,7 +228,7 @@ def test_requests_are_checked_by_type(spark):
     """What the contract's types refuse and what they accept in another form."""
     whole = {"event_type": "x", "session_id": "s", "client_timestamp": 5}
     cases = [
-        ({}, []), ({"payload": 5}, ["payload"]), ({"payload": "txt"}, ["payload"]), ({"payload": [1]}, ["payload"]), ({"payload": None}, ["payload"]),
+        ({}, []), ({"payload": 5}, ["payload"]), ({"payload": "txt"}, ["payload"]), ({"payload": "{}"}, ["payload"]), ({"payload": [1]}, ["payload"]), ({"payload": None}, ["payload"]),
         ({"payload": {}}, []), ({"schema_version": None}, ["version"]), ({"app_version": None}, ["version"]),
         ({"client_timestamp": "77"}, []), ({"client_timestamp": 1.0}, []), ({"client_timestamp": 1.5}, ["event"]), ({"client_timestamp": "x"}, ["event"]),
     ]
@@ -237,14 +237,14 @@ def test_requests_are_checked_by_type(spark):
     checked = ingest.validate_batches(ingest.parse_batches(df))
     assert {r["i"]: r["errors"] for r in checked.collect()} == {i: e for i, (_, e) in enumerate(cases)}
     times = {r["i"]: r["client_timestamp"] for r in ingest.explode_batches(checked, "i").collect()}
-    assert (times[8], times[9]) == (77, 1)
+    assert (times[9], times[10]) == (77, 1)
 
 
 def test_payload_values_are_never_lost(spark):
     cases = [
         {"score": 12, "x": 1}, {"score": 12.0}, {"score": "12"}, {"score": 12.7}, {"score": "many"}, {"score": None}, {"score": 10**12},
         {"platform": "ios", "device_info": {"platform": "web"}}, {"device_info": {"platform": "web"}, "platform": "ios"},
-        {"from": "a", "from_screen": "b"}, {"device_info": {"platform": "web"}}, {"mode": {"a": 1}},
+        {"from": "a", "from_screen": "b"}, {"device_info": {"platform": "web"}}, {"mode": {"a": 1}}, {"clear_time_ms": 2**31, "taps": 2**31},
     ]
     df = spark.createDataFrame([(i, "2", json.dumps(c)) for i, c in enumerate(cases)], "i int, schema_version string, payload string")
     got = {r["i"]: r for r in ingest.flatten_payload(df).collect()}
@@ -253,6 +253,8 @@ def test_payload_values_are_never_lost(spark):
     assert extra[:7] == [{"x": 1}, None, None, {"score": 12.7}, {"score": "many"}, None, {"score": 10**12}]
     assert [got[i]["platform"] for i in (7, 8, 10)] == ["ios", "ios", "web"] and got[9]["from_screen"] == "b"
     assert got[11]["mode"] == '{"a":1}'
+    # Each number is held against the type of its own column.
+    assert got[12]["clear_time_ms"] == 2**31 and extra[12] == {"taps": 2**31} and got[12]["taps"] is None
 
 
 def test_numbers_of_messages(spark):
