@@ -33,6 +33,11 @@ def test_query(spark, duck, name):
     assert differences(QUERIES[name](spark, FOLDER), duck, ORACLES[name]) == []
 
 
+def test_bursts_are_found(duck):
+    """The twin of the rapid-fire rule at its own limits compares rows, not nothing with nothing."""
+    assert len(duck.sql(ORACLES["rapid_fire_bursts"]).fetchall()) > 0
+
+
 def test_optional_packages_may_be_absent():
     """Without a package that only the operators over documents need, all other queries are still there."""
     code = (
