@@ -90,14 +90,17 @@ query(
 
 # Messages
 
-_EVENT_COLUMNS = ", ".join(
-    f'"{c}"' for c in names(EVENT_SCHEMA) if c not in ("app_version", "duration_ms", "item_type", "reason")
-)
+# Columns that the view of all events lacks.
+_ADDED = {
+    "app_version": "'1.0.0'", "duration_ms": "0", "item_type": "CASE WHEN action <> '' THEN 'universal_block' ELSE '' END",
+    "reason": "CASE WHEN event_type = 'stage_fail' THEN 'timeout' ELSE '' END",
+}
+_EVENT_COLUMNS = ", ".join(f'{_ADDED[c]} AS {c}' if c in _ADDED else f'"{c}"' for c in names(EVENT_SCHEMA))
 _BROKEN = "CASE WHEN taps = 7 THEN 'json' WHEN completion_pct = 40 THEN 'field' END"
 query(
     "parsed_events",
     f"SELECT {_EVENT_COLUMNS} FROM allev WHERE {_BROKEN} IS NULL AND schema_version = '2'",
-)(lambda t: ingest.accepted_events(star_tables.event_messages(t.events)).select(*_EVENT_COLUMNS.replace('"', "").split(", ")))
+)(lambda t: ingest.accepted_events(star_tables.event_messages(t.events)))
 query(
     "dead_letters",
     f"""SELECT {_BROKEN} AS error, event_type AS type_in_record FROM allev WHERE {_BROKEN} IS NOT NULL""",
@@ -192,7 +195,7 @@ def _stored_events(t):
     path = work_path(t.spark, "fact-events")
     tables.write_fact_events(t.events, path)
     stored = tables.read_fact(t.spark, path, EVENT_SCHEMA)
-    return stored.select(*_EVENT_COLUMNS.replace('"', "").split(", "), "month")
+    return stored.select(*names(EVENT_SCHEMA), "month")
 
 
 @query(
@@ -222,7 +225,7 @@ def _stored_alerts(t):
 def _jsonl_round_trip(t):
     path = work_path(t.spark, "jsonl")
     tables.write_jsonl(t.events, path)
-    return tables.read_jsonl(t.spark, path).select(*_EVENT_COLUMNS.replace('"', "").split(", "))
+    return tables.read_jsonl(t.spark, path).select(*names(EVENT_SCHEMA))
 
 
 @query(
