@@ -6,6 +6,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -208,6 +209,60 @@ def test_orc_tokens_equal_the_library(spark, make_docs, tmp_path):
     assert orc_tokens.token_index(orc_tokens.read_tokens(spark, f"{path}-none")).count() == 0
 
 
+def counted_tokenizer():
+    """The tokenizer of op9, and a list of all units it gives to the library."""
+    tok, seen = orc_tokens.ByteTokenizer(orc_tokens.model_path()), []
+    encode_many = tok.table.encode_many
+    tok.table.encode_many = lambda units: (seen.extend(units), encode_many(units))[1]
+    return tok, seen
+
+
+def library_ids(texts):
+    library = Tokenizer.from_file(orc_tokens.model_path())
+    return [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def same_ids(tok, texts):
+    ids, lengths = tok.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, np.cumsum(lengths))[:-1]] == library_ids(texts)
+
+
+def test_a_word_is_encoded_once_whatever_follows_it():
+    """Punctuation after a word and line feeds around it make no new units of the word (op9's CPU budget)."""
+    rng = random.Random(1)
+    words = ["".join(rng.choice("aehinrstéß") for _ in range(12)) for _ in range(300)]
+    ends = ["", ".", ",", "...", "!)", ".&&&", "\nThe", ".\n"]
+    texts = ["A " + " ".join(w + end for w in words) for end in ends]
+    tok, seen = counted_tokenizer()
+    assert same_ids(tok, texts)
+    assert len(seen) < len(words) + 20
+
+
+def test_cuts_of_op9_follow_the_library():
+    """White space in every order, contractions, marks, letters of many scripts, parts of the added token."""
+    rng = random.Random(2)
+    parts = [
+        *"   \n\n\t\r\v.,)_-<|'", "\r\n", "  ", "\xa0", "\u3000", "\u2009", "\x1c", "\x85", "...", "!?", "'s", "'ll", "don't", "foo", "Bar", "é", "e\u0301",
+        "ß", "12", "²", "½", "中文", "я", "Ω", "\U0001F600", "<|endoftext|>", "|>", "×", "\u200b", "\ufeff", "ǀ", "ª", "µ", "ʼ", "\0", "\u180e"]
+    tok, _ = counted_tokenizer()
+    for _ in range(40):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(1, 300))]
+        assert same_ids(tok, [t if rng.random() < 0.5 else t.replace("<|endoftext|>", "") for t in texts])
+
+
+def test_units_that_come_again_are_kept(monkeypatch):
+    monkeypatch.setattr(orc_tokens, "HELD_BYTES", 100_000)
+    tok, seen = counted_tokenizer()
+    common = "In words" + "".join(f" again{chr(97 + i)}" for i in range(26))
+    for step in range(10):
+        assert same_ids(tok, [common, " ".join(f"once{step}x{i}" for i in range(400))])
+        assert tok.table.held < 250_000
+    assert len(seen) > 4000 and seen.count(" againc") == 1
+    # Where even those are too many, it starts afresh.
+    again = " ".join(f"many{i}" for i in range(1000))
+    assert all(same_ids(tok, [again]) for _ in range(4)) and seen.count(" many7") > 1
+
+
 def rows_scanned(df):
     """Rows that the scan hands over, before the filter."""
     df.collect()
